@@ -136,24 +136,28 @@ class Prefix:
         return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts])
 
 
-def blocks(texts, limit: int = BLOCK_BYTES):
-    """Lists of (index, bytes, first) of about limit bytes.
+def blocks(texts, limit: int = BLOCK_BYTES, back: int = 0):
+    """Lists of (index, bytes, repeated) of about limit bytes.
 
-    A longer text is cut behind white space where there is some; ``first`` is false for
-    all but the first of its parts.
+    A longer text is cut behind a space where there is one; the next part then begins with
+    the last ``back`` pieces between spaces of the one before, and ``repeated`` is the number
+    of bytes that are there again.
     """
     out, held = [], 0
     for i, t in enumerate(texts):
         t = t or b""
-        at, first = 0, True
+        at = again = 0
         while len(t) - at > limit:
             end = t.rfind(b" ", at + limit // 2, at + limit) + 1 or at + limit
             if out:
                 yield out
                 out, held = [], 0
-            yield [(i, t[at:end], first)]
-            at, first = end, False
-        out.append((i, t[at:] if at else t, first))
+            yield [(i, t[at:end], again)]
+            begin = end
+            for _ in range(back):
+                begin = t.rfind(b" ", at + again, begin - 1) + 1 or end
+            at, again = begin, end - begin
+        out.append((i, t[at:] if at else t, again))
         held += len(t) - at
         if held >= limit:
             yield out

@@ -171,7 +171,7 @@ class Classifier:
         if self.network is None:
             return np.full(len(texts), self.prior)
         best = np.zeros((len(texts), _FILTERS * len(_WIDTHS)), np.float32)
-        for part in blocks(texts):
+        for part in blocks(texts, back=max(_WIDTHS) - 1):
             lowered = [t.translate(LOWER) + b" " for _, t, _ in part]
             ids, starts = word_ids(b"".join(lowered))
             bounds = np.searchsorted(starts, np.concatenate([[0], np.cumsum([len(t) for t in lowered])]))
