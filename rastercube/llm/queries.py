@@ -7,18 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastercube.llm import decontam, langid, mixing, sharding, simhash, tokens, toxicity
+from rastercube.llm import chat, decontam, embed_dedup, langid, mixing, quality, sharding, simhash, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all vectors at a cosine of 0.95 or more, and their components."""
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 def op2_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards under the law ``rows``."""
     return sharding.interleave(table(spark, sf_dir, "documents"), shards=16)
 
 
+#: The contract's added conversation: texts that look like marks.
+ADDED = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op3_chat_fsm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -1, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(ADDED, "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_conversations(rows.unionByName(added)), ordered=True)
+
+
 def op4_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and components of those within 3 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
@@ -38,6 +54,11 @@ def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("first_position"))
 
 
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weights of all documents, and the half that resampling keeps."""
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), share=0.5)
+
+
 def op8_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -61,5 +82,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_stratified_shards, op4_simhash_bktree, op5_wu_manber_decontam, op6_curriculum_mix, op8_toxicity_cnn, op9_language_bitmask, op10_token_segments]
+    found = [op1_embedding_hnsw, op2_stratified_shards, op3_chat_fsm, op4_simhash_bktree, op5_wu_manber_decontam, op6_curriculum_mix, op7_importance_resampling, op8_toxicity_cnn, op9_language_bitmask, op10_token_segments]
     return {f.__name__: f for f in found}
