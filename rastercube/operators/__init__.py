@@ -1 +1 @@
-"""operators"""
+"""Operators over pixels, tiles, months and masks."""

@@ -32,16 +32,19 @@ def directional_split(pixel: DataFrame, test: float, val: float, degrees: float
     what is left the part furthest across it, TRAIN all else, OUTSIDE what is not in the region.
 
     pixel: in_region, x, y. val is a share of the whole region. A value that equals a cut is
-    beyond it. The cuts are scalar subqueries: nothing is collected.
+    beyond it. Two numbers, the cuts, are fetched; what uses the split then plans without
+    sub-queries.
     """
     across, along = rotated(F.col("x"), F.col("y"), degrees)
     rows = pixel.withColumn("_across", across).withColumn("_along", along)
     region = rows.filter("in_region")
-    rows = rows.withColumn("_test", quantile(region, F.col("_along"), 1 - test).scalar())
-    rest = region.filter(F.col("_along") < quantile(region, F.col("_along"), 1 - test).scalar())
-    rows = rows.withColumn("_val", quantile(rest, F.col("_across"), 1 - val / (1 - test)).scalar())
-    split = F.when(~F.col("in_region"), OUTSIDE).when(F.col("_along") >= F.col("_test"), TEST).when(F.col("_across") >= F.col("_val"), VAL).otherwise(TRAIN)
-    return rows.withColumn("split_id", split.cast("int")).drop("_across", "_along", "_test", "_val")
+    first = quantile(region, F.col("_along"), 1 - test).first()["q"]
+    if first is None:
+        raise SplitError("the region has no pixels")
+    second = quantile(region.filter(F.col("_along") < F.lit(first)), F.col("_across"), 1 - val / (1 - test)).first()["q"]
+    beyond = F.lit(False) if second is None else F.col("_across") >= F.lit(second)
+    split = F.when(~F.col("in_region"), OUTSIDE).when(F.col("_along") >= F.lit(first), TEST).when(beyond, VAL).otherwise(TRAIN)
+    return rows.withColumn("split_id", split.cast("int")).drop("_across", "_along")
 
 
 def split_counts(pixel: DataFrame, pixel_area: float = 1.0) -> DataFrame:

@@ -1 +1 @@
-"""plans"""
+"""Builds and queries made of the operators."""

@@ -1 +1 @@
-"""sources"""
+"""Catalogues, rasters and sinks."""
