@@ -19,12 +19,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-equal fingerprints, the document with the least doc_id.
+    """Of each component of near copies, the document with the least doc_id.
 
+    Near copies have fingerprints within three bits, or a similarity of 0.8 or more over
+    five-word shingles by their sketches.
     Documents with no doc_id are kept only where their whole component has none.
     """
     docs = docs.select(*COLUMNS)
-    found = simhash.near_duplicates(docs, width=3, radius=3)
+    found = simhash.near_copies(docs, similarity=0.8, radius=3)
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_k")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_k"]), "left_semi")
 

@@ -40,11 +40,20 @@ def test_toxicity_stage(spark, stages):
 
 
 def test_dedup_stage(stages):
-    fp = {r["doc_id"]: simhash.fingerprint(r["text"].encode()) for r in stages[1].collect()}
+    text = {r["doc_id"]: r["text"].encode() for r in stages[1].collect()}
+    fp = {i: simhash.fingerprint(t) for i, t in text.items()}
+    wide = {i: simhash.sketch(simhash.words_of(t)) for i, t in text.items()}
+
+    def near(a, b):
+        x, y = wide[a], wide[b]
+        apart = (int.from_bytes(x) ^ int.from_bytes(y)).bit_count()
+        band = any(x[k : k + 2] == y[k : k + 2] for k in range(0, len(x), 2))
+        return (fp[a] ^ fp[b]).bit_count() <= 3 or band and apart <= simhash.sketch_radius(0.8) + 4
+
     root = {i: i for i in fp}
     for a in sorted(fp):
         for b in sorted(fp):
-            if a < b and (fp[a] ^ fp[b]).bit_count() <= 3:
+            if a < b and root[a] != root[b] and near(a, b):
                 x, y = root[a], root[b]
                 for k, v in root.items():
                     if v == max(x, y):
@@ -52,6 +61,33 @@ def test_dedup_stage(stages):
     assert ids(stages[2]) == sorted({i for i in root if root[i] == i})
 
 
+def jaccard(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_dedup_stage_finds_near_copies_and_leaves_others(spark):
+    import random
+
+    r = random.Random(1)
+    rows, want = [], set()
+    for g in range(60):
+        words = [f"w{r.randrange(5000)}" for _ in range(r.randrange(60, 400))]
+        want.add(10 * g)
+        for k in range(4):
+            copy = list(words)
+            for _ in range(k * len(words) // 300):
+                copy[r.randrange(len(copy))] = "other"
+            rows.append((10 * g + k, " ".join(copy), "en", "s", 0))
+            assert jaccard(rows[-1][1], " ".join(words)) > 0.85
+        half = words[: len(words) // 2] + [f"v{r.randrange(5000)}" for _ in range(len(words) // 2)]
+        rows.append((10 * g + 9, " ".join(half), "en", "s", 0))
+        want.add(10 * g + 9)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = set(ids(cp.one_of_each_group(spark, docs, SF)))
+    assert want <= got and len(got - want) <= 3
+
+
 def test_decontamination_stage(spark, stages):
     items = [(str(r["item_id"]), r["text"].encode()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     windows = {w for _, t in items for w in decontam.windows(t)}
