@@ -243,3 +243,26 @@ def land_cover(rasters: DataFrame, nodata: int = 0) -> DataFrame:
     """row, col, class of a categorical raster's first band; cells of nodata have no row."""
     cells = planes(rasters, [0]).filter(F.col("value").isNotNull() & (F.col("value") != nodata))
     return cells.select("row", "col", F.col("value").cast("int").alias("class"))
+
+
+def save(cells: DataFrame, path: str, height: int, width: int, bands: list[str], kind: str = "float32", transform: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0), epsg: int | None = None, nodata: float | None = None, overwrite: bool = False) -> None:
+    """One GeoTIFF under path from cells (row, col, bands); absent cells are nodata (0 for masks, else NaN).
+
+    A raster of the grid's size is put together by one task, as one file of its kind holds it;
+    Spark's committed writer stores it, so any file system will do. The file's last byte is a line
+    feed behind the image, which TIFF readers don't look at.
+    """
+    empty = nodata if nodata is not None else (np.nan if np.dtype(kind).kind == "f" else 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = np.full((len(bands), height, width), empty, kind)
+        for b in batches:
+            at = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for k in range(len(bands)):
+                v = b.column(2 + k).to_numpy(zero_copy_only=False)
+                x[k][at] = np.where(np.isnan(v), empty, v)
+        yield pa.RecordBatch.from_arrays([pa.array([write(x, transform, bands, epsg, nodata)], pa.binary())], ["data"])
+
+    rows = cells.select(F.col("row").cast("int"), F.col("col").cast("int"), *[F.col(b).cast("double").alias(b) for b in bands])
+    one = rows.coalesce(1).mapInArrow(run, "data binary").select(F.col("data").cast("string").alias("value"))
+    one.write.mode("overwrite" if overwrite else "errorifexists").option("compression", "none").text(path)

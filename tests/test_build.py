@@ -92,6 +92,20 @@ def test_rasters_become_a_cube(spark, tmp_path):
     assert geotiff.cube(months, rasters, ["a", "b"], ["b"]).columns == ["month_idx", "row", "col", "b"]
 
 
+def test_masks_are_saved_as_rasters(spark, tmp_path):
+    import glob
+
+    df = spark.createDataFrame([(0, 1, True, 2.5), (2, 3, False, None)], "row int, col int, m boolean, v double")
+    geotiff.save(df.withColumn("m", F.col("m").cast("int")), f"{tmp_path}/m", 3, 4, ["m"], "uint8", epsg=32643, nodata=0)
+    geotiff.save(df, f"{tmp_path}/v", 3, 4, ["v"])
+    masks, values = (geotiff.Tiff(open(glob.glob(f"{tmp_path}/{k}/part-*")[0], "rb").read()) for k in "mv")
+    want = np.zeros((3, 4), np.uint8)
+    want[0, 1] = 1
+    assert masks.grid().crs == "EPSG:32643" and np.array_equal(next(iter(masks.blocks()))[3], want)
+    v = next(iter(values.blocks()))[3]
+    assert v[0, 1] == 2.5 and np.isnan(v).sum() == 11
+
+
 def test_land_cover_raster(spark, tmp_path):
     x = np.array([[[10, 10, 0, 0], [50, 10, 0, 0]]], np.uint8)
     (tmp_path / "lc.tif").write_bytes(geotiff.write(x, nodata=0))
