@@ -17,42 +17,47 @@ def temporal_mean(cube: DataFrame, bands: list[str]) -> DataFrame:
     return cube.groupBy("row", "col").agg(*[F.avg(F.col(b).cast("double")).alias(b) for b in bands])
 
 
-def weighted_sums(values: DataFrame, weight: DataFrame, bands: list[str]) -> DataFrame:
-    """One row a band: n, total, squares over values (row, col, band...) weighted by weight (row, col, w).
-
-    A pixel in k accepted tiles counts k times; the weight is joined once, so the cube isn't
-    multiplied by its overlapping tiles.
-    """
-    rows = values.join(weight, ["row", "col"])
-    pick = lambda b, f: F.sum(F.when(F.col(b).isNotNull(), f(F.col(b).cast("double")) * F.col("w")))
+def pixel_sums(values: DataFrame, bands: list[str]) -> DataFrame:
+    """row, col and for each band the count, sum and sum of squares over its months."""
     parts: list[Column] = []
     for b in bands:
-        parts += [F.sum(F.when(F.col(b).isNotNull(), F.col("w"))).alias(f"{b}_n"), pick(b, lambda x: x).alias(f"{b}_t"), pick(b, lambda x: x * x).alias(f"{b}_q")]
-    one = rows.agg(*parts)
-    stack = F.explode(F.array(*[F.struct(F.lit(b).alias("channel"), F.coalesce(f"{b}_n", F.lit(0)).alias("n"), F.col(f"{b}_t").alias("total"), F.col(f"{b}_q").alias("squares")) for b in bands]))
-    return one.select(stack.alias("s")).select("s.*")
+        x = F.col(b).cast("double")
+        parts += [F.count(b).alias(f"{b}_n"), F.sum(x).alias(f"{b}_t"), F.sum(x * x).alias(f"{b}_q")]
+    return values.groupBy("row", "col").agg(*parts)
+
+
+def weighted_sums(weight: DataFrame, *parts: tuple[DataFrame, list[str], int]) -> DataFrame:
+    """One row a band: channel, n, n_max, total, squares, each pixel counted w times.
+
+    weight: row, col, w. Each part is (values by row, col, its bands, months that a pixel can
+    have). Values are summed by pixel first, before the shuffle, so what meets the weights is a
+    row a pixel; a pixel in k accepted tiles counts k times without being multiplied.
+    """
+    rows = weight
+    for values, bands, _ in parts:
+        rows = rows.join(pixel_sums(values, bands), ["row", "col"], "left")
+    sums = [F.sum(F.coalesce(f"{b}_{k}", F.lit(0)) * F.col("w")).alias(f"{b}_{k}") for _, bands, _ in parts for b in bands for k in "ntq"]
+    one = rows.agg(F.sum("w").alias("_w"), *sums)
+    stack = [F.struct(F.lit(b).alias("channel"), F.coalesce(f"{b}_n", F.lit(0)).cast("long").alias("n"), (F.coalesce("_w", F.lit(0)) * months).cast("long").alias("n_max"), F.col(f"{b}_t").alias("total"), F.col(f"{b}_q").alias("squares")) for _, bands, months in parts for b in bands]
+    return one.select(F.explode(F.array(*stack)).alias("s")).select("s.*")
 
 
-def band_stats(sums: DataFrame, n_max: DataFrame, max_gap: float = 0.10) -> DataFrame:
-    """channel, n, n_max, mean, std, fill, gap_fraction, degenerate, over_gap.
+def band_stats(sums: DataFrame, max_gap: float = 0.10) -> DataFrame:
+    """channel, n, n_max, mean, std, fill, gap_fraction, degenerate, over_gap of weighted_sums().
 
-    sums: channel, n, total, squares; n_max: channel, n_max. The fill is the mean; a standard
-    deviation of next to nothing becomes 1 and marks the channel.
+    The fill is the mean; a standard deviation of next to nothing becomes 1 and marks the
+    channel. A band without values has no mean.
     """
-    rows = sums.join(n_max, "channel").withColumn("_std", population_std(F.col("n"), F.col("total"), F.col("squares")))
-    mean, gap = F.col("total") / F.col("n"), gap_fraction(F.col("n"), F.col("n_max"))
+    n = F.nullif(F.col("n"), F.lit(0))
+    rows = sums.withColumn("_std", population_std(n, F.col("total"), F.col("squares")))
+    mean, gap = F.col("total") / n, gap_fraction(F.col("n"), F.nullif(F.col("n_max"), F.lit(0)))
     return rows.select("channel", "n", "n_max", mean.alias("mean"), guarded_std(F.col("_std")).alias("std"), mean.alias("fill"), gap.alias("gap_fraction"), (F.col("_std") <= MIN_STD).alias("degenerate"), (gap > max_gap).alias("over_gap"))
 
 
 def train_stats(cube: DataFrame, terrain: DataFrame, weight: DataFrame, dynamic: list[str], static: list[str], months: int, max_gap: float = 0.10) -> DataFrame:
     """band_stats() of dynamic bands over the cube's months and of static bands over the terrain means."""
-    total = weight.agg(F.sum("w")).scalar()
-    sums = weighted_sums(cube, weight, dynamic)
-    if static:
-        sums = sums.unionByName(weighted_sums(terrain, weight, static))
-    times = F.when(F.col("channel").isin(static), 1).otherwise(months) if static else F.lit(months)
-    n_max = sums.select("channel", (times * total).alias("n_max"))
-    return band_stats(sums, n_max, max_gap)
+    parts = [(cube, dynamic, months)] * bool(dynamic) + [(terrain, static, 1)] * bool(static)
+    return band_stats(weighted_sums(weight, *parts), max_gap)
 
 
 def require_stats(stats: DataFrame) -> DataFrame:

@@ -231,9 +231,9 @@ def _qty(spark, d):
 
 @query("q19_std_guard", "SELECT channel, CASE WHEN raw<=1e-8 THEN 1.0 ELSE raw END AS std, raw<=1e-8 AS degenerate FROM (SELECT channel, raw FROM sd UNION ALL SELECT 'constant', 0.0)", "sd")
 def _(spark, d):
-    const = spark.createDataFrame([("constant", 10, 50.0, 250.0)], "channel string, n long, total double, squares double")
-    sums = stats.weighted_sums(s.obs(spark, d), s.weights(spark), s.DYNAMIC).unionByName(stats.weighted_sums(s.terrain_sums(spark, d), s.weights(spark), s.STATIC)).unionByName(const)
-    return stats.band_stats(sums, sums.select("channel", F.col("n").alias("n_max"))).select("channel", "std", "degenerate")
+    const = spark.createDataFrame([("constant", 10, 10, 50.0, 250.0)], "channel string, n long, n_max long, total double, squares double")
+    sums = stats.weighted_sums(s.weights(spark), (s.obs(spark, d), s.DYNAMIC, s.MONTHS), (s.terrain_sums(spark, d), s.STATIC, 1)).unionByName(const)
+    return stats.band_stats(sums).select("channel", "std", "degenerate")
 
 
 @query("q20_gap_fraction", "SELECT channel, gap_fraction, over_gap FROM bs", "bs")
@@ -364,18 +364,13 @@ def _(spark, d):
 
 _X = """SELECT s.sample_id, CAST(k.i AS INT) AS t, c.ci AS channel_idx, c.channel, p."row"-s.row_off AS i, p.col-s.col_off AS j,
     (coalesce(CAST(CASE c.channel WHEN 'price' THEN o.price WHEN 'qty' THEN o.qty WHEN 'disc' THEN o.disc ELSE r.tax END AS DOUBLE),fill)-mean)/std AS z
-    FROM (SELECT * FROM sm WHERE sample_id IN (0,500)) s CROSS JOIN range(12) k(i) CROSS JOIN (VALUES (0,'price'),(1,'qty'),(2,'disc'),(3,'tax')) c(ci,channel)
+    FROM sm s CROSS JOIN range(12) k(i) CROSS JOIN (VALUES (0,'price'),(1,'qty'),(2,'disc'),(3,'tax')) c(ci,channel)
     JOIN px p ON p."row" BETWEEN s.row_off AND s.row_off+2 AND p.col BETWEEN s.col_off AND s.col_off+2
     LEFT JOIN obs o ON o."row"=p."row" AND o.col=p.col AND o.month_idx=s.seq_start_index+k.i LEFT JOIN tr r ON r."row"=p."row" AND r.col=p.col JOIN bs USING(channel)"""
 
 
-def _some(spark):
-    """Two samples, as a data loader asks for: a look-up by id."""
-    return s.samples(spark).filter(F.col("sample_id").isin(0, 500))
-
-
 def _x(spark, d):
-    return rebuild.sample_values(_some(spark), _dense(spark, d), s.terrain_sums(spark, d), s.band_stats(spark, d), s.BANDS, s.STATIC)
+    return rebuild.sample_values(s.samples(spark), _dense(spark, d), s.terrain_sums(spark, d), s.band_stats(spark, d), s.BANDS, s.STATIC)
 
 
 @query("q55_sample_values", _X, "sm", "px", "obs", "tr", "bs")

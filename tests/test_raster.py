@@ -127,9 +127,9 @@ def test_weighted_statistics_equal_a_loop_over_patches(spark):
 
 
 def test_statistics_without_values_are_refused(spark):
-    s = spark.createDataFrame([("a", 0, None, None)], "channel string, n long, total double, squares double")
+    s = spark.createDataFrame([("a", 0, 5, 0.0, 0.0), ("b", 0, 0, None, None)], "channel string, n long, n_max long, total double, squares double")
     with pytest.raises(stats.StatsError):
-        stats.require_stats(stats.band_stats(s, spark.createDataFrame([("a", 5)], "channel string, n_max long")))
+        stats.require_stats(stats.band_stats(s))
 
 
 def test_finite(spark):
