@@ -254,16 +254,17 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.95, shards: int = 8, blocks: int = 3, width: int = 24) -> DataFrame:
+def near_duplicates(vectors: DataFrame, least: float = 0.95, shards: int | None = None, blocks: int | None = None, width: int = 24, shard_rows: int = 1 << 17, block_rows: int = 1 << 20) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of (vec_id, embedding).
 
     Equal vectors become one node with a multiplicity. Nodes are dealt into ``shards`` by a
     hash of their id; each shard's graph is built once, by one task, and written to the
     shared folder. Every node queries every shard, in ``blocks`` blocks of queries a shard:
-    a task holds one graph and streams its queries. What it finds is verified as a cosine in
+    a task holds one graph and streams its queries. Unless they are given, there are 8 shards
+    and 3 blocks, and more as soon as they would exceed shard_rows or block_rows nodes; so
+    neither a graph nor a task outgrows its memory, and the work is rows x shards. What it finds is verified as a cosine in
     double precision. Of each query it emits the number of its links and of all its links a
     spanning forest, never the pairs, so a group of g near copies costs g rows a shard.
-    ``shards`` bounds a graph's size: choose rows / shards to fit a task's memory.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with
     nothing, and neither do vectors of different lengths or rows without vec_id (their component_id is
@@ -273,7 +274,11 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, shards: int = 8, bl
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
     each = rows.filter(F.col("vec_id").isNotNull()).filter(_valid("e")).groupBy("vec_id").agg(F.min("e").alias("e"))
-    nodes = cut(each.groupBy("e").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumn("dim", F.size("e")).withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int")), "vectors")
+    nodes = cut(each.groupBy("e").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumn("dim", F.size("e")), "vectors")
+    n = nodes.count()
+    shards = shards or max(8, -(-n // shard_rows))
+    blocks = blocks or max(3, -(-n // block_rows))
+    nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
