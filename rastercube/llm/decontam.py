@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastercube.llm.shared import LOWER
+from rastercube.llm.shared import LOWER, hold
 
 #: Bytes that belong to words after A-Z is lower-cased; every other byte is a gap.
 _TO_WORDS = bytes(c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in LOWER)
@@ -117,17 +117,6 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_searchers: dict = {}
-
-
-def _searcher(key, items: list, size: int) -> Searcher:
-    """One block's tables, kept by the worker process while it works on that block."""
-    if key not in _searchers:
-        _searchers.clear()
-        _searchers[key] = Searcher(items, size)
-    return _searchers[key]
-
-
 def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = 1 << 20) -> DataFrame:
     """All columns of docs, and n_words, spans (array of start, end by turns), items (sorted ids).
 
@@ -160,7 +149,7 @@ def _pass(docs: DataFrame, block, size: int, key) -> DataFrame:
     at = {c: names.index(c) for c in ("_text", "n_words", "spans", "items")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searcher = _searcher(key, block.value, size)
+        searcher = hold(key, lambda: Searcher(block.value, size))
         for b in batches:
             n_words, spans, items = [], [], []
             for text, old, had in zip(b.column(at["_text"]), b.column(at["spans"]), b.column(at["items"]), strict=True):

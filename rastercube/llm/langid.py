@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rastercube.llm.shared import LOWER, blocks, held_out, seeded, with_text_bytes
+from rastercube.llm.shared import LOWER, blocks, held_out, hold, seeded, with_text_bytes
 
 #: ASCII letters are lower-cased, bytes of other scripts stay, all else is a gap.
 _LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in LOWER)
@@ -164,6 +164,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     held = spark.sparkContext.broadcast(model)  # a table of fixed size a plane
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("langid", dict)
         for b in batches:
             names, scores = held.value.predict([x.as_py() for x in b.column(1)])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])

@@ -90,6 +90,21 @@ def with_text_bytes(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns, F.col("text").cast("binary").alias("text"))
 
 
+_held: dict = {}
+
+
+def hold(key, make):
+    """A worker process' one large object: kept for the next task, until another key is asked for.
+
+    Workers serve one stage after the other; what an earlier one built must not stay beside
+    what this one needs.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 # ---- numpy: hashes of the words of a block of text -------------------------------------------
 
 #: Fixed odd multiplier of the polynomial hash, and its inverse modulo 2**64.

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rastercube.llm.components import connected
-from rastercube.llm.shared import LOWER, cut, mix, with_text_bytes
+from rastercube.llm.shared import LOWER, cut, hold, mix, with_text_bytes
 
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 #: Shingles that are counted at once: bounds the memory that one text needs.
@@ -286,6 +286,7 @@ def sketches(docs: DataFrame, width: int = 3, sketch_width: int = 5, seed: int =
     """doc_id, fp (the fingerprint) and wide (the sketch) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("simhash", dict)
         for b in batches:
             fps, wide = [], []
             for t in (x.as_py() for x in b.column(1)):

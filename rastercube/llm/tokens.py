@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastercube.llm.shared import before, cut, shared_path, tokenizer_path
+from rastercube.llm.shared import before, cut, hold, shared_path, tokenizer_path
 
 _SAMPLE = 256
 _EF = struct.Struct("<QQIIII")
@@ -152,7 +152,7 @@ _PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{
 _PLAIN = regex.compile("[\t\n\r -~À-ÖØ-öø-ſ]*")
 _CROWDED = regex.compile(r" \s")
 _APART = regex.compile(r"(?<=\S)(?= \S)", regex.V1)
-_CHUNKS, _WORDS = 400_000, 800_000
+_CHUNKS, _WORDS = 300_000, 400_000
 
 
 class Encoder:
@@ -215,15 +215,6 @@ class Encoder:
         return b"".join([self.piece(first) if first else b"", *[get(c) or miss(c) for c in rest]])
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
 # ---- write and read --------------------------------------------------------------------------
 
 
@@ -246,7 +237,7 @@ def write_segments(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.js
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, part, seq = encoder(file), TaskContext.get().partitionId(), 0
+        enc, part, seq = hold(("tokens", file), lambda: Encoder(file)), TaskContext.get().partitionId(), 0
         end = enc.pack([end_id])
         who, ids, held = [], [], 0
         for b in batches:
@@ -275,6 +266,7 @@ def read_segments(spark, path: str) -> DataFrame:
     kind = "part bigint, seq bigint, slot bigint, doc_id bigint, offset bigint, n_tokens bigint, ids_crc32 bigint, segment_ids bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("read", dict)
         for b in batches:
             for content in b.column(0):
                 s = Segment(content.as_buffer())

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rastercube.llm import langid
-from rastercube.llm.shared import LOWER, Prefix, blocks, held_out, seeded, with_text_bytes, word_spans
+from rastercube.llm.shared import LOWER, Prefix, blocks, held_out, hold, seeded, with_text_bytes, word_spans
 
 _IS_WORD = np.array([97 <= c <= 122 or 48 <= c <= 57 or c >= 128 for c in LOWER])
 _BUCKETS = 1 << 16
@@ -228,6 +228,7 @@ def score_documents(docs: DataFrame, model: Classifier) -> DataFrame:
     at = keep.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("toxicity", dict)
         for b in batches:
             texts = b.column(at).cast(pa.binary())
             s = held.value.score([x.as_py() for x in texts])
