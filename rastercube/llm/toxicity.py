@@ -135,26 +135,45 @@ class Classifier:
         self.network, self.languages, self.thresholds, self.base, self.prior = network, languages, thresholds, base, prior
 
     @classmethod
-    def fit(cls, rows: list[tuple[bytes, str | None, int]]) -> Classifier:
-        """rows: (text, lang, label). Four fifths train the network; the rest sets thresholds.
-
-        A language's threshold lies midway between its classes' scores where they are
-        furthest apart, drawn to that of all languages as if by 20 rows more. lang is a
-        label here: it trains the language model, which tells a text's language when it is scored.
+    def fit(cls, rows: list[tuple[bytes, str | None, int]], cross_below: int = 1000) -> Classifier:
+        """rows: (text, lang, label). Thresholds are set on scores of rows that the network didn't see.
+
+        Four fifths of the rows train the network and the rest sets thresholds; with fewer than
+        cross_below rows, each fifth in turn is scored by a network of the others, and a last
+        network is trained on all. A language's threshold lies midway between its classes'
+        scores where they are furthest apart, drawn to that of all languages as if by 20 rows
+        more. lang is a label here: it trains the language model, which tells a text's language
+        when it is scored.
         """
         labels = np.array([c for _, _, c in rows], np.float64)
         if not len(rows) or labels.min() == labels.max():
             return cls(None, None, {}, 0.0, float((labels.sum() + 0.5) / (len(rows) + 1)) if len(rows) else 0.0)
         ids = [word_ids(t.translate(LOWER))[0] for t, _, _ in rows]
-        fit = np.arange(len(rows)) % 5 != 0
-        if labels[fit].min() == labels[fit].max() or labels[~fit].min() == labels[~fit].max():
-            fit[:] = True
-        network = Network()
-        network.start([ids[i] for i in np.flatnonzero(fit)], labels[fit])
-        network.train([ids[i] for i in np.flatnonzero(fit)], labels[fit])
-        rest = np.flatnonzero(~fit) if not fit.all() else np.arange(len(rows))
-        bounds = np.concatenate([[0], np.cumsum([len(ids[i]) for i in rest])])
-        scores = network.logits(network.pooled(np.concatenate([ids[i] for i in rest]), bounds))
+
+        def train(pick: np.ndarray) -> Network:
+            network = Network()
+            network.start([ids[i] for i in pick], labels[pick])
+            network.train([ids[i] for i in pick], labels[pick])
+            return network
+
+        def logits(network: Network, pick: np.ndarray) -> np.ndarray:
+            bounds = np.concatenate([[0], np.cumsum([len(ids[i]) for i in pick])])
+            return network.logits(network.pooled(np.concatenate([ids[i] for i in pick]), bounds))
+
+        fold, every = np.arange(len(rows)) % 5, np.arange(len(rows))
+        two = lambda pick: 0 < labels[pick].sum() < len(pick)  # noqa: E731  both classes are there
+        if len(rows) < cross_below and all(two(every[fold != k]) for k in range(5)):
+            rest, scores = every, np.zeros(len(rows))
+            for k in range(5):
+                if (own := every[fold == k]).size:
+                    scores[own] = logits(train(every[fold != k]), own)
+            network = train(every)
+        elif two(every[fold != 0]) and two(every[fold == 0]):
+            rest, network = every[fold == 0], train(every[fold != 0])
+            scores = logits(network, rest)
+        else:
+            rest, network = every, train(every)
+            scores = logits(network, rest)
         languages = langid.Model.fit([(t, lang) for t, lang, _ in rows if lang is not None])
         of = np.array(languages.predict([rows[i][0] for i in rest])[0])
         base = threshold(scores, labels[rest])
