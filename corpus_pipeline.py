@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies, the document with the least doc_id.
 
-    Near copies have fingerprints within three bits, or a similarity of 0.8 or more over
-    five-word shingles by their sketches.
+    Near copies have fingerprints within three bits, or sets of five-word shingles with a
+    Jaccard similarity of 0.8 or more.
     Documents with no doc_id are kept only where their whole component has none.
     """
     docs = docs.select(*COLUMNS)

@@ -282,84 +282,201 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, seed: int
     return fps.join(of, fps["fp"] == of["_fp"]).select("doc_id", "fp", "component_id")
 
 
-def sketches(docs: DataFrame, width: int = 3, sketch_width: int = 5, seed: int = 42) -> DataFrame:
-    """doc_id, fp (the fingerprint) and wide (the sketch) of every row."""
+def shingle_set(text: bytes | None, width: int = 5, seed: int = 42) -> np.ndarray:
+    """The XXH64 of a text's distinct shingles, rising."""
+    slabs = list(shingle_hashes(words_of(text), width, seed))
+    return np.unique(np.concatenate(slabs)) if slabs else np.zeros(0, np.uint64)
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two shingle sets have at least that Jaccard similarity."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both) - 1e-9
+
+
+def prefix(ids: np.ndarray, common: np.ndarray, count: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set in an order that all sets share: rare before common, then by hash.
+
+    Sets of at least that similarity share ceil(similarity * n) shingles of either set's n, so
+    in any such order the first n - ceil(similarity * n) + 1 of both have one in common.
+    """
+    n = len(ids) - math.ceil(similarity * len(ids) - 1e-9) + 1
+    if not len(common):
+        return ids[:n]
+    at = np.minimum(np.searchsorted(common, ids), len(common) - 1)
+    return ids[np.argsort(np.where(common[at] == ids, count[at], 0), kind="stable")[:n]]
+
+
+def row_key(docs: DataFrame):
+    """A 64-bit hash of all columns: rows with equal keys are equal."""
+    return F.xxhash64(*docs.columns, *[F.col(c).isNull() for c in docs.columns])
+
+
+def _pack(out: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds.values(), strict=True)], list(kinds))
+
+
+def set_rows(docs: DataFrame, width: int = 3, set_width: int = 5, seed: int = 42) -> DataFrame:
+    """key (row_key()), doc_id, fp, n (distinct shingles) and node (a hash of fp and the shingle set) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("simhash", dict)
         for b in batches:
-            fps, wide = [], []
-            for t in (x.as_py() for x in b.column(1)):
+            fps, n, node = [], [], []
+            for t in (x.as_py() for x in b.column(2)):
+                ids = shingle_set(t, set_width, seed)
                 fps.append(fingerprint(t, width, seed))
-                wide.append(sketch(words_of(t), sketch_width, seed))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(wide, pa.binary())], ["doc_id", "fp", "wide"])
+                n.append(len(ids))
+                node.append(xxhash.xxh64_intdigest(ids.tobytes(), fps[-1]))
+            as_long = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fps, n, node)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *as_long], ["key", "doc_id", "fp", "n", "node"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return with_text_bytes(docs, "doc_id").mapInArrow(run, f"doc_id {kind}, fp bigint, wide binary")
+    return with_text_bytes(docs.withColumn("key", row_key(docs)), "key", "doc_id").mapInArrow(run, f"key bigint, doc_id {kind}, fp bigint, n bigint, node bigint")
 
 
-def sketch_links(nodes: DataFrame, radius: int) -> DataFrame:
-    """Pairs (u, v) of nodes (node, wide) whose sketches differ in at most radius bits, if a 16-bit band agrees.
+def common_shingles(docs: DataFrame, rows: int, sample: int = 5000, least: int = 3, most: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several of a sample of the documents have, rising, and how many have them.
 
-    Each sketch goes to one shard for each of its 16-bit bands; a shard's BK-tree is asked for
-    the neighbours of each member, and a spanning forest leaves it. A pair with a Jaccard
-    similarity of 0.8 shares a band with probability 0.84, one of 0.9 with 0.99; unlike
-    texts differ in about half of all bits, far beyond the radius.
+    They only order prefix()'s shingles, so that a passage or line that many documents have
+    does not make candidates of them all; no result depends on the sample.
     """
-    bands = 4 * SKETCH_WORDS
-    key = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.struct(i.cast("int").alias("p"), F.substring(F.col("wide"), i * 2 + 1, F.lit(2)).alias("k"))))
-    rows = nodes.select("node", "wide", key.alias("s")).select("s.*", "node", "wide")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, values, names = None, [], {}
+        hold("simhash", dict)
+        for b in batches:
+            for t in b.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t.as_py()).view(np.int64))], ["h"])
 
-        def links() -> list[tuple[int, int]]:
-            if len(values) < 2:
-                return []
-            return [(names[a], names[b]) for a, b in shard_links(values, radius)]
+    some = with_text_bytes(docs.filter(F.pmod(F.xxhash64(F.lit(7), row_key(docs)), F.lit(max(1, rows // sample))) == 0))
+    seen = some.mapInArrow(run, "h bigint").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    got = seen.orderBy(F.col("n").desc(), "h").limit(most).toArrow()
+    h, n = got.column("h").to_numpy().view(np.uint64), got.column("n").to_numpy()
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def set_candidates(docs: DataFrame, similarity: float, common: np.ndarray, count: np.ndarray) -> DataFrame:
+    """(k, node, head): the distinct nodes of each shingle that stands in several nodes' prefixes, and the least of them.
+
+    A shingle's nodes arrive sorted and leave as they come: none is held but the head.
+    """
 
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("simhash", dict)
+        for b in batches:
+            for t in (x.as_py() for x in b.column(0)):
+                ids = shingle_set(t)
+                if len(ids):
+                    node = xxhash.xxh64_intdigest(ids.tobytes(), fingerprint(t))
+                    k = prefix(ids, common, count, similarity)
+                    yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(np.full(len(k), node, np.uint64).view(np.int64))], ["k", "node"])
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, head, alone = None, None, True
         for b in batches:
+            k, node = (b.column(i).to_numpy() for i in (0, 1))
             out = []
-            for p, k, node, wide in zip(*(x.to_pylist() for x in b.columns), strict=True):
-                if (p, k) != key:
-                    out += links()
-                    key, values, names = (p, k), [], {}
-                x = int.from_bytes(wide, "little")
-                if x in names:
-                    out.append((node, names[x]))
-                else:
-                    names[x] = node
-                    values.append(x)
+            # only rows next to one of the same shingle matter, and those at the batch's ends
+            same = k[1:] == k[:-1]
+            near = np.flatnonzero(np.concatenate([[True], same]) | np.concatenate([same, [True]]))
+            for x, y in zip(k[near].tolist(), node[near].tolist(), strict=True):
+                if last is None or x != last[0]:
+                    head, alone = y, True
+                elif y != last[1]:
+                    if alone:
+                        out.append((x, head, head))
+                    out.append((x, y, head))
+                    alone = False
+                last = (x, y)
             if out:
-                yield pairs(out)
-        if out := links():
-            yield pairs(out)
+                yield _pack(out, {"k": pa.int64(), "node": pa.int64(), "head": pa.int64()})
 
-    def pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        u, v = zip(*found, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+    rows = with_text_bytes(docs).mapInArrow(deal, "k bigint, node bigint")
+    return rows.repartition("k").sortWithinPartitions("k", "node").mapInArrow(heads, "k bigint, node bigint, head bigint")
+
+
+def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose shingle sets, from their texts, have at least that Jaccard similarity.
+
+    Each text is read once, and its set goes to each v that it is asked for; one set is held at a time.
+    """
+    asks = pairs.select(F.col("u").alias("a"), F.col("v").alias("to")).unionByName(pairs.select(F.col("v").alias("a"), F.col("v").alias("to")).distinct())
+    asks = asks.join(nodes.select("node", F.col("key").alias("_key")), F.col("a") == F.col("node")).groupBy("_key", "a").agg(F.collect_list("to").alias("to"))
+    texts = docs.withColumn("key", row_key(docs)).join(asks, F.col("key") == F.col("_key"))
+    kinds = {"to": pa.int64(), "first": pa.bool_(), "a": pa.int64(), "ids": pa.binary()}
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("simhash", dict)
+        for b in batches:
+            out, held = [], 0
+            for a, to, t in zip(*(b.column(i) for i in (0, 1, 2)), strict=True):
+                a, ids = a.as_py(), shingle_set(t.as_py()).tobytes()
+                for v in to.as_py():
+                    out.append((v, v != a, a, ids))
+                    held += len(ids)
+                    if held > 1 << 22:
+                        yield _pack(out, kinds)
+                        out, held = [], 0
+            if out:
+                yield _pack(out, kinds)
 
-    return rows.repartition("p", "k").sortWithinPartitions("p", "k").mapInArrow(run, "u bigint, v bigint")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, mine = None, None
+        for b in batches:
+            out = []
+            for v, u, ids in zip(*(b.column(i) for i in (0, 2, 3)), strict=True):
+                v, u, ids = v.as_py(), u.as_py(), np.frombuffer(ids.as_buffer(), np.uint64)
+                if u == v:
+                    at, mine = v, ids
+                elif v == at and similar(mine, ids, similarity):
+                    out.append((u, v))
+            if out:
+                yield _pack(out, {"u": pa.int64(), "v": pa.int64()})
+
+    sent = with_text_bytes(texts, "a", "to").mapInArrow(send, "to bigint, first boolean, a bigint, ids binary")
+    return sent.repartition("to").sortWithinPartitions("to", "first").mapInArrow(compare, "u bigint, v bigint").distinct()
 
 
-def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3, slack: int = 4) -> DataFrame:
+def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3) -> DataFrame:
     """doc_id and component_id of every row, over links of two kinds.
 
     Fingerprints (three-word shingles) within radius bits, as near_duplicates() has them, and
-    sketches (five-word shingles) that estimate a Jaccard similarity of at least ``similarity``;
-    slack bits are added to that radius, so that fewer pairs near the bound are lost.
-    The fingerprint's few bits miss most pairs of that similarity; the sketch finds them. Rows
-    with equal fingerprint and sketch are one node, named by a 64-bit hash of both. Nulls,
-    empty texts, repeated rows and empty tables are as in near_duplicates().
+    sets of five-word shingles with a Jaccard similarity of at least ``similarity``. Candidates
+    share a shingle of their prefixes, which no such pair fails to; each is confirmed by its
+    texts' sets. First every node is held against the least node of each shingle; then, where
+    a shingle's nodes are not yet one component, those outside of its largest component
+    against all that they are not yet linked with. So a group that is linked costs a few
+    comparisons a node. Rows with equal fingerprint and set are one node, named by a 64-bit
+    hash of both. Nulls, empty texts, repeated rows and empty tables are as in near_duplicates().
     """
-    rows = cut(sketches(docs).withColumn("node", F.xxhash64("fp", "wide")), "sketches")
-    nodes = cut(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("wide").alias("wide"), F.min("doc_id").alias("rep")), "sketch-nodes")
+    rows = cut(set_rows(docs), "set-rows")
+    nodes = cut(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.min("doc_id").alias("rep"), F.min("key").alias("key")), "set-nodes")
     head = nodes.groupBy("fp").agg(F.min("node").alias("head"))
     same = nodes.join(head, "fp").select(F.col("node").alias("u"), F.col("head").alias("v"))
     near = links(head.select("fp"), radius)
     a, b = head.select(F.col("fp").alias("_a"), F.col("head").alias("_u")), head.select(F.col("fp").alias("_b"), F.col("head").alias("_v"))
     near = near.join(a, near["u"] == F.col("_a")).join(b, F.col("v") == F.col("_b")).select(F.col("_u").alias("u"), F.col("_v").alias("v"))
-    roots = connected(same.unionByName(near).unionByName(sketch_links(nodes.select("node", "wide"), sketch_radius(similarity) + slack)))
+
+    live = cut(set_candidates(docs, similarity, *common_shingles(docs, rows.count())), "candidates")
+    size = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"))
+    fits = F.least("n_u", "n_v") >= similarity * F.greatest("n_u", "n_v") - 1e-9
+    to_head = live.filter("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v")).distinct()
+    tested = cut(to_head.join(size("u"), "u").join(size("v"), "v").filter(fits).select("u", "v"), "head-pairs")
+    found = cut(same.unionByName(near).unionByName(confirmed(docs, nodes, tested, similarity)), "set-links")
+
+    roots = connected(found)
+    of = nodes.join(roots.withColumnRenamed("node", "_n"), nodes["node"] == F.col("_n"), "left").select("node", "n", F.coalesce("root", "node").alias("root"))
+    member = live.select("k", "node").join(of, "node")
+    main = member.groupBy("k", "root").agg(F.count("*").alias("c")).groupBy("k").agg(F.max_by("root", "c").alias("main"), F.count("*").alias("roots")).filter("roots > 1").select("k", "main")
+    member = cut(member.join(main, "k"), "mixed")
+    left, right = member.filter("root <> main").alias("x"), member.alias("y")
+    apart = F.expr("x.k = y.k and x.root <> y.root and (y.root = y.main or x.node < y.node)")
+    close = F.expr(f"least(x.n, y.n) >= {similarity!r}D * greatest(x.n, y.n) - 1e-9D")
+    cross = left.join(right, apart & close).select(F.expr("least(x.node, y.node)").alias("v"), F.expr("greatest(x.node, y.node)").alias("u")).distinct()
+    cross = cut(cross.join(tested, ["u", "v"], "left_anti").select("u", "v"), "cross-pairs")
+    roots = connected(found.unionByName(confirmed(docs, nodes, cross, similarity)))
+
     named = nodes.join(roots.withColumnRenamed("node", "_n"), nodes["node"] == F.col("_n"), "left").select(nodes["node"], "rep", F.coalesce("root", nodes["node"]).alias("root"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     of = named.join(least, "root").select(F.col("node").alias("_node"), "component_id")
