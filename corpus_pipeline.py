@@ -19,16 +19,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies, the document with the least doc_id.
+    """Of each component of near copies, one row: that with the least doc_id, nulls last.
 
     Near copies have fingerprints within three bits, or sets of five-word shingles with a
     Jaccard similarity of 0.8 or more.
-    Documents with no doc_id are kept only where their whole component has none.
+    Of rows with the same doc_id, or without one, the least hash of all columns decides; of
+    wholly equal rows one stays. Every component keeps one row, whatever its ids are.
     """
     docs = docs.select(*COLUMNS)
     found = simhash.near_copies(docs, similarity=0.8, radius=3)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_k")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_k"]), "left_semi")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("_first")
+    kept = found.groupBy("component").agg(first, F.count("*").alias("_n")).select(F.col("_first.key").alias("_k"), "_n")
+    rows = docs.withColumn("_key", simhash.row_key(docs)).join(kept, F.col("_key") == F.col("_k"))
+    # a component of one row can't repeat it; in others equal rows are one group
+    once = rows.filter("_n > 1").groupBy("_key").agg(*[F.first(c).alias(c) for c in COLUMNS])
+    return rows.filter("_n = 1").select(*COLUMNS).unionByName(once.select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -439,7 +439,10 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: f
 
 
 def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3) -> DataFrame:
-    """doc_id and component_id of every row, over links of two kinds.
+    """key, doc_id and component of every row, over links of two kinds.
+
+    key is row_key(): equal rows have one, others have their own. component is the same number
+    for the rows of a component, whatever their doc_id.
 
     Fingerprints (three-word shingles) within radius bits, as near_duplicates() has them, and
     sets of five-word shingles with a Jaccard similarity of at least ``similarity``. Candidates
@@ -448,10 +451,10 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3) -> Da
     a shingle's nodes are not yet one component, those outside of its largest component
     against all that they are not yet linked with. So a group that is linked costs a few
     comparisons a node. Rows with equal fingerprint and set are one node, named by a 64-bit
-    hash of both. Nulls, empty texts, repeated rows and empty tables are as in near_duplicates().
+    hash of both. Null and empty texts are one node; an empty table gives no rows.
     """
     rows = cut(set_rows(docs), "set-rows")
-    nodes = cut(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.min("doc_id").alias("rep"), F.min("key").alias("key")), "set-nodes")
+    nodes = cut(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.min("key").alias("key")), "set-nodes")
     head = nodes.groupBy("fp").agg(F.min("node").alias("head"))
     same = nodes.join(head, "fp").select(F.col("node").alias("u"), F.col("head").alias("v"))
     near = links(head.select("fp"), radius)
@@ -477,10 +480,8 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3) -> Da
     cross = cut(cross.join(tested, ["u", "v"], "left_anti").select("u", "v"), "cross-pairs")
     roots = connected(found.unionByName(confirmed(docs, nodes, cross, similarity)))
 
-    named = nodes.join(roots.withColumnRenamed("node", "_n"), nodes["node"] == F.col("_n"), "left").select(nodes["node"], "rep", F.coalesce("root", nodes["node"]).alias("root"))
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of = named.join(least, "root").select(F.col("node").alias("_node"), "component_id")
-    return rows.join(of, rows["node"] == of["_node"]).select("doc_id", "component_id")
+    of = roots.select(F.col("node").alias("_node"), "root")
+    return rows.join(of, rows["node"] == of["_node"], "left").select("key", "doc_id", F.coalesce("root", rows["node"]).alias("component"))
 
 
 def hex16(fp):

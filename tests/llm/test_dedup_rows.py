@@ -61,3 +61,18 @@ def test_dedup_stage_links_along_chains(spark):
                 root = [lo if x == hi else x for x in root]
     got = cp.one_of_each_group(spark, table(spark, rows), "").collect()
     assert sorted(x["doc_id"] for x in got) == sorted(set(root))
+
+
+def test_dedup_stage_with_null_and_repeated_ids(spark):
+    r = random.Random(6)
+    t = [" ".join(f"w{r.randrange(9000)}" for _ in range(80)) for _ in range(6)]
+    rows = [
+        *[(None, t[0], "en", "s", k) for k in range(4)],  # a component without ids: one row
+        (None, t[1], "en", "s", 0), (7, t[1], "en", "s", 0),  # the row with an id
+        *[(8, t[2], "en", "s", 0)] * 3,  # repeated rows: one
+        (9, t[3], "en", "s", 0), (9, t[4], "en", "s", 0), (3, t[4], "en", "s", 0),  # 9 stays for t[3] only
+        *[(None, t[5], "en", "s", 0)] * 2,
+    ]
+    got = [(x["doc_id"], x["text"]) for x in cp.one_of_each_group(spark, table(spark, rows), "").collect()]
+    want = [(None, t[0]), (7, t[1]), (8, t[2]), (9, t[3]), (3, t[4]), (None, t[5])]
+    assert sorted(got, key=str) == sorted(want, key=str)
