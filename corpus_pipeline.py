@@ -46,13 +46,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The curriculum's stream: a row for each copy that the mix takes of a document.
 
     Documents that the mix takes no copy of leave here; those without words have no size to
-    mix and stay once. Rows that repeat a doc_id within a source share its copies evenly.
+    mix and stay once. Every row has positions of its own, also without a doc_id or with one
+    that another row has.
     """
-    docs = docs.select(*COLUMNS)
-    taken = mixing.curriculum(docs).groupBy("doc_id", "source").agg(F.sum(F.size("positions")).cast("int").alias("_n"), F.count("*").alias("_rows"), F.max("size").alias("_size"))
-    taken = taken.withColumn("_copies", F.when(F.col("_size") == 0, 1).otherwise(F.round(F.col("_n") / F.col("_rows")).cast("int"))).filter("_copies > 0")
-    rows = docs.withColumnsRenamed({"doc_id": "_d", "source": "_s"}).join(taken, F.col("_d").eqNullSafe(taken["doc_id"]) & F.col("_s").eqNullSafe(taken["source"]))
-    return rows.withColumn("_c", F.explode(F.sequence(F.lit(1), "_copies"))).select(F.col("_d").alias("doc_id"), "text", "lang", F.col("_s").alias("source"), "n_chars")
+    mix = mixing.curriculum(docs.select(*COLUMNS), carry=["text", "lang", "n_chars"])
+    copies = F.when(F.col("size") == 0, 1).otherwise(F.size("positions"))
+    return mix.withColumn("_copies", copies).filter("_copies > 0").withColumn("_c", F.explode(F.sequence(F.lit(1), "_copies"))).select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

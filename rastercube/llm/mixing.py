@@ -41,7 +41,7 @@ def targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3)
     return rows.select("source", "source_size", F.when(F.col("_cut"), F.col("_limit").cast("double")).otherwise(share).alias("target"))
 
 
-def curriculum(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, tilt: float = 0.5, seed: int = 11) -> DataFrame:
+def curriculum(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, tilt: float = 0.5, seed: int = 11, carry: Sequence[str] = ()) -> DataFrame:
     """Which documents a mix takes, how often, and where on the training axis they stand.
 
     Each source's weight runs linearly over training time u in [0, 1]: its demand per time is
@@ -56,9 +56,11 @@ def curriculum(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3
     4096 of them. Returns one row a document: doc_id, source, size, source_size, target,
     taken (size * copies), positions (array of one double for each copy). Null texts and
     texts without words have size 0 and no copies; a null source is a source; repeated rows
-    stay apart; an empty table gives no rows. Other columns are ignored.
+    stay apart; an empty table gives no rows. Columns named in ``carry`` come along with their
+    row; others are ignored.
     """
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("_c"))
+    carried = [F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)]
+    rows = docs.select(*carried, "doc_id", "source", word_count(F.col("text")).alias("size"), F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("_c"))
     sizes = rows.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     goal = targets(sizes, weights, cap)
     order = Window.orderBy(F.col("source").asc_nulls_last())
@@ -74,7 +76,7 @@ def curriculum(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3
     # u(1+s) - s u^2 = y, in a form that is stable for s near 0
     inverse = f"2 * {share} / ((1 + _slope) + sqrt(greatest(0D, (1 + _slope) * (1 + _slope) - 4 * _slope * {share})))"
     rows = rows.withColumn("_starts", starts)
-    return rows.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.size("_starts")).cast("long").alias("taken"), F.expr(f"transform(_starts, x -> {inverse})").alias("positions"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.size("_starts")).cast("long").alias("taken"), F.expr(f"transform(_starts, x -> {inverse})").alias("positions"), *[F.col(f"_carry{i}").alias(c) for i, c in enumerate(carry)])
 
 
 def training_order(mix: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -76,3 +76,19 @@ def test_dedup_stage_with_null_and_repeated_ids(spark):
     got = [(x["doc_id"], x["text"]) for x in cp.one_of_each_group(spark, table(spark, rows), "").collect()]
     want = [(None, t[0]), (7, t[1]), (8, t[2]), (9, t[3]), (3, t[4]), (None, t[5])]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_mixing_stage_with_null_and_repeated_ids(spark):
+    r = random.Random(7)
+    text = lambda: " ".join(f"w{r.randrange(900)}" for _ in range(r.randrange(5, 40)))
+    rows = [(None, text(), "en", "a", 0) for _ in range(60)] + [(5, text(), "en", "a", 0) for _ in range(40)]
+    rows += [(100 + k // 3, text(), "en", "b", 0) for k in range(60)] + [(900, "", "en", "a", 0), (901, None, "en", "b", 0)]
+    docs = table(spark, rows)
+    want = []
+    for x in cp.mixing.curriculum(docs, carry=["text"]).collect():
+        want += [(x["doc_id"], x["text"], x["source"])] * (len(x["positions"]) if x["size"] else 1)
+    got = cp.mix_sources(spark, docs, "").collect()
+    assert sorted(((x["doc_id"], x["text"], x["source"]) for x in got), key=str) == sorted(want, key=str)
+    for source, goal in {(x["source"], x["target"]) for x in cp.mixing.curriculum(docs).collect()}:
+        taken = sum(len((x["text"] or "").split()) for x in got if x["source"] == source)
+        assert abs(taken - goal) <= 20
