@@ -217,9 +217,11 @@ class Shard:
     def links(self, ids: np.ndarray, vectors: np.ndarray, least: float, width: int, recall: float = 0.995) -> tuple[list[np.ndarray], int]:
         """Rows of the shard linked with each query, and the beam width that passed the audit.
 
-        Audit: for up to 64 queries spread over the block, and up to 64 of those that found
-        something, brute force counts the links; if the beams found fewer than ``recall`` of
-        them, the block is searched again with beams twice as wide, in the end by brute force.
+        Audit: brute force lists the links of up to 64 queries spread over the block, and of up
+        to 64 each of those that found nothing, that found fewer than 8, and that found more.
+        Recall is a query's own share, so that a large group doesn't outvote pairs; its mean,
+        among queries with fewer than 8 links and among the others, must be ``recall`` or more.
+        Otherwise the block is searched again with beams twice as wide, in the end by brute force.
         """
         unit = unit_rows(vectors)
         while True:
@@ -233,12 +235,15 @@ class Shard:
                 out.append(rows[ok])
             if width >= len(self.ids):
                 return out, width
-            hits = np.array([i for i, r in enumerate(out) if len(r)], np.int64)
-            pick = np.unique(np.concatenate([np.linspace(0, len(unit) - 1, min(64, len(unit))).astype(np.int64), hits[np.linspace(0, len(hits) - 1, min(64, len(hits))).astype(np.int64)] if len(hits) else hits]))
-            there = unit[pick] @ self.unit.T >= least
-            there &= self.ids[None, :] != ids[pick][:, None]
-            want, got = int(there.sum()), sum(len(out[i]) for i in pick)
-            if got >= recall * want:
+            n = np.array([len(r) for r in out])
+            strata = [np.arange(len(n)), np.flatnonzero(n == 0), np.flatnonzero((n > 0) & (n < 8)), np.flatnonzero(n >= 8)]
+            pick = np.unique(np.concatenate([x[np.linspace(0, len(x) - 1, min(64, len(x))).astype(np.int64)] for x in strata]))
+            want = np.zeros(len(pick), np.int64)
+            for at in range(0, len(pick), 64):
+                part = pick[at : at + 64]
+                want[at : at + 64] = ((unit[part] @ self.unit.T >= least) & (self.ids[None, :] != ids[part][:, None])).sum(1)
+            share = n[pick] / np.maximum(want, 1)
+            if all(share[x].mean() >= recall for x in ((want > 0) & (want < 8), want >= 8) if x.any()):
                 return out, width
             width *= 2
 
