@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from rastercube.llm import decontam, mixing, simhash, toxicity
-from rastercube.llm.shared import tokenizer_path
+from rastercube.llm.shared import LOWER, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,15 +40,17 @@ def test_toxicity_stage(spark, stages):
 
 
 def test_dedup_stage(stages):
-    text = {r["doc_id"]: r["text"].encode() for r in stages[1].collect()}
-    fp = {i: simhash.fingerprint(t) for i, t in text.items()}
-    wide = {i: simhash.sketch(simhash.words_of(t)) for i, t in text.items()}
+    """All pairs by the definition: fingerprints within three bits, or five-word similarity of 0.8 or more."""
+    text = {r["doc_id"]: r["text"] for r in stages[1].collect()}
+    fp = {i: simhash.fingerprint(t.encode()) for i, t in text.items()}
+    sets = {}
+    for i, t in text.items():
+        w = t.encode().translate(LOWER).split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
 
     def near(a, b):
-        x, y = wide[a], wide[b]
-        apart = (int.from_bytes(x) ^ int.from_bytes(y)).bit_count()
-        band = any(x[k : k + 2] == y[k : k + 2] for k in range(0, len(x), 2))
-        return (fp[a] ^ fp[b]).bit_count() <= 3 or band and apart <= simhash.sketch_radius(0.8) + 4
+        both = len(sets[a] & sets[b])
+        return (fp[a] ^ fp[b]).bit_count() <= 3 or both and both >= 0.8 * (len(sets[a]) + len(sets[b]) - both)
 
     root = {i: i for i in fp}
     for a in sorted(fp):
