@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastercube.llm import decontam, mixing, simhash, tokens, toxicity
+from rastercube.llm import copies, decontam, mixing, tokens, toxicity
 from rastercube.llm.shared import cut
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,14 +26,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Of rows with the same doc_id, or without one, the least hash of all columns decides; of
     wholly equal rows one stays. Every component keeps one row, whatever its ids are.
     """
-    docs = docs.select(*COLUMNS)
-    found = simhash.near_copies(docs, similarity=0.8, radius=3)
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("_first")
-    kept = found.groupBy("component").agg(first, F.count("*").alias("_n")).select(F.col("_first.key").alias("_k"), "_n")
-    rows = docs.withColumn("_key", simhash.row_key(docs)).join(kept, F.col("_key") == F.col("_k"))
-    # a component of one row can't repeat it; in others equal rows are one group
-    once = rows.filter("_n > 1").groupBy("_key").agg(*[F.first(c).alias(c) for c in COLUMNS])
-    return rows.filter("_n = 1").select(*COLUMNS).unionByName(once.select(*COLUMNS))
+    return copies.one_of_each(docs.select(*COLUMNS), similarity=0.8, radius=3)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +43,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     that another row has.
     """
     mix = mixing.curriculum(docs.select(*COLUMNS), carry=["text", "lang", "n_chars"])
-    copies = F.when(F.col("size") == 0, 1).otherwise(F.size("positions"))
-    return mix.withColumn("_copies", copies).filter("_copies > 0").withColumn("_c", F.explode(F.sequence(F.lit(1), "_copies"))).select(*COLUMNS)
+    taken = F.when(F.col("size") == 0, 1).otherwise(F.size("positions"))
+    return mix.withColumn("_copies", taken).filter("_copies > 0").withColumn("_c", F.explode(F.sequence(F.lit(1), "_copies"))).select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
