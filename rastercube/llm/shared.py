@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -97,10 +101,14 @@ def hold(key, make):
     """A worker process' one large object: kept for the next task, until another key is asked for.
 
     Workers serve one stage after the other; what an earlier one built must not stay beside
-    what this one needs.
+    what this one needs, and what it has freed goes back to the system.
     """
     if key not in _held:
         _held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # where the C library is not glibc
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
         _held[key] = make()
     return _held[key]
 

@@ -152,7 +152,7 @@ _PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{
 _PLAIN = regex.compile("[\t\n\r -~À-ÖØ-öø-ſ]*")
 _CROWDED = regex.compile(r" \s")
 _APART = regex.compile(r"(?<=\S)(?= \S)", regex.V1)
-_CHUNKS, _WORDS = 300_000, 400_000
+_CHUNKS, _WORDS = 200_000, 250_000
 
 
 class Encoder:
