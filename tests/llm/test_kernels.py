@@ -222,7 +222,7 @@ def test_language_model():
 def test_filters_have_no_false_negatives():
     r = np.random.default_rng(8)
     keys = r.integers(0, 1 << 32, 5000).astype(np.uint32)
-    f = langid.Filters(["a", "b"], [keys, keys[:10]])
+    f = langid.Filters.of_sets(["a", "b"], [keys, keys[:10]])
     assert f.counts(keys, np.array([0]), np.array([5000]))[0, 0] == 5000
     other = r.integers(0, 1 << 32, 200_000).astype(np.uint32)
     assert f.counts(other, np.array([0]), np.array([len(other)]))[0, 0] <= 200_000 * f.chance[0] + 30
