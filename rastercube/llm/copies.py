@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rastercube.llm.components import connected
-from rastercube.llm.shared import Prefix, cut, hold, with_text_bytes
+from rastercube.llm.shared import Prefix, cut, hold, small, with_text_bytes
 from rastercube.llm.simhash import fingerprint, links, words_of
 
 #: Words that are hashed at once, and the narrowest and widest bitmaps in bits.
@@ -232,11 +232,6 @@ def plausible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFram
     return sized.select("u", "v", "n_u", "n_v", "b_u", "b_v").mapInArrow(run, "u bigint, v bigint")
 
 
-def small(df: DataFrame, rows: int = 1 << 18) -> DataFrame:
-    """df for a join: broadcast if a count finds at most that many rows (of a few numbers each), else as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float, deal: int = 512) -> DataFrame:
     """The pairs (u, v) whose shingle sets, from their texts, have at least that Jaccard similarity.
 

@@ -9,15 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rastercube.llm.shared import LOWER, blocks, held_out, hold, seeded, with_text_bytes
+from rastercube.llm.shared import LOWER, blocks, cut, held_out, hold, seeded, small, with_text_bytes
 
 #: ASCII letters are lower-cased, bytes of other scripts stay, all else is a gap.
 _LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in LOWER)
 _N = 4
 #: Odd multipliers of the hash functions (fixed values).
 _HASHES = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
-#: A longer text is no training row.
-MAX_BYTES = 1 << 17
 
 
 def has_letter(text: bytes | None) -> bool:
@@ -40,6 +38,20 @@ def grams(block: np.ndarray) -> np.ndarray:
     return a[:-3] | a[1:-2] << np.uint32(8) | a[2:-1] << np.uint32(16) | a[3:] << np.uint32(24)
 
 
+def text_grams(text: bytes) -> Iterator[np.ndarray]:
+    """The n-grams of a whole text, a block at a time."""
+    for part in blocks([text]):
+        yield grams(np.frombuffer(b"".join(normal(t) for _, t, _ in part), np.uint8))
+
+
+def cells(keys: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """Where each hash function puts the keys in a table of 1 << bits cells."""
+    shift = np.uint32(32 - bits)
+    for m in _HASHES:
+        x = keys * np.uint32(m)
+        yield (x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> shift
+
+
 class Filters:
     """For all languages at once: cell c of the table has bit l if some hash of an n-gram of language l is c.
 
@@ -48,34 +60,35 @@ class Filters:
     languages there are several planes of masks.
     """
 
-    def __init__(self, languages: list[str], sets: list[np.ndarray], bits: int = 20):
-        self.languages, self.bits = languages, bits
-        n = len(languages)
-        kind = next((k for k, w in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32)) if n <= w), np.uint64)
-        self.per = np.dtype(kind).itemsize * 8
-        self.planes = [np.zeros(1 << bits, kind) for _ in range(-(-n // self.per) or 1)]
-        filled = []
-        for i, keys in enumerate(sets):
-            plane, bit = self.planes[i // self.per], kind(1 << i % self.per)
-            for cells in self._cells(keys):
-                plane[cells] |= bit
-            filled.append(np.count_nonzero(plane & bit) / (1 << bits))
+    def __init__(self, languages: list[str], planes: list[np.ndarray], bits: int):
+        self.languages, self.planes, self.bits = languages, planes, bits
+        self.per = planes[0].dtype.itemsize * 8
+        filled = [np.count_nonzero(self.planes[i // self.per] >> planes[0].dtype.type(i % self.per) & planes[0].dtype.type(1)) / (1 << bits) for i in range(len(languages))]
         #: chance that an n-gram outside of a language's set passes its filter
         self.chance = np.array(filled) ** len(_HASHES) if filled else np.zeros(0)
 
-    def _cells(self, keys: np.ndarray) -> Iterator[np.ndarray]:
-        shift = np.uint32(32 - self.bits)
-        for m in _HASHES:
-            x = keys * np.uint32(m)
-            yield (x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> shift
+    @classmethod
+    def empty(cls, n: int, bits: int) -> list[np.ndarray]:
+        """Planes for n languages, of the narrowest integers that hold them."""
+        kind = next((k for k, w in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32)) if n <= w), np.uint64)
+        return [np.zeros(1 << bits, kind) for _ in range(-(-n // (np.dtype(kind).itemsize * 8)) or 1)]
+
+    @classmethod
+    def of_sets(cls, languages: list[str], sets: list[np.ndarray], bits: int = 20) -> Filters:
+        planes = cls.empty(len(languages), bits)
+        per = planes[0].dtype.itemsize * 8
+        for i, keys in enumerate(sets):
+            for c in cells(keys, bits):
+                planes[i // per][c] |= planes[0].dtype.type(1 << i % per)
+        return cls(languages, planes, bits)
 
     def counts(self, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """For each range of keys and each language, how many keys pass; shape (ranges, languages)."""
-        cells = list(self._cells(keys))
+        at = list(cells(keys, self.bits))
         out = np.zeros((len(starts), len(self.languages)), np.int64)
         for p, plane in enumerate(self.planes):
-            mask = plane[cells[0]]
-            for c in cells[1:]:
+            mask = plane[at[0]]
+            for c in at[1:]:
                 mask &= plane[c]
             for l in range(p * self.per, min(len(self.languages), (p + 1) * self.per)):
                 run = np.concatenate([[0], np.cumsum(mask >> mask.dtype.type(l % self.per) & mask.dtype.type(1), dtype=np.int64)])
@@ -95,27 +108,23 @@ class Model:
 
     @classmethod
     def fit(cls, rows: list[tuple[bytes, str]], share: float = 0.2, least: int = 2) -> Model:
-        """rows: (text, language). An n-gram belongs to each language in which its rate is at
-        least ``share`` of its highest rate in any, and which has it ``least`` times (once, if the
-        language has few rows)."""
+        """rows: (text, language), held in memory. An n-gram belongs to each language in which its
+        rate is at least ``share`` of its highest rate in any, and which has it ``least`` times."""
         by: dict[str, list[bytes]] = {}
         for text, lang in rows:
-            by.setdefault(lang, []).append(normal(text))
+            by.setdefault(lang, []).append(text)
         order = sorted(by, key=lambda k: (-len(by[k]), k))
         found = []
         for lang in order:
-            keys, n = np.unique(grams(np.frombuffer(b"".join(by[lang]), np.uint8)), return_counts=True)
+            keys, n = np.unique(np.concatenate([g for t in by[lang] for g in text_grams(t)]), return_counts=True)
             found.append((keys, n, n / max(1, n.sum())))
         every = np.unique(np.concatenate([k for k, _, _ in found])) if found else np.zeros(0, np.uint32)
         top = np.zeros(len(every))
         for keys, _, rate in found:
             at = np.searchsorted(every, keys)
             top[at] = np.maximum(top[at], rate)
-        sets = []
-        for lang, (keys, n, rate) in zip(order, found, strict=True):
-            few = len(by[lang]) < 50
-            sets.append(keys[(rate >= share * top[np.searchsorted(every, keys)]) & (n >= (1 if few else least))])
-        return cls(Filters(order, sets))
+        sets = [keys[(rate >= share * top[np.searchsorted(every, keys)]) & (n >= least)] for keys, n, rate in found]
+        return cls(Filters.of_sets(order, sets))
 
     def predict(self, texts: list[bytes | None]) -> tuple[list[str], list[float]]:
         langs = self.filters.languages
@@ -143,19 +152,69 @@ class Model:
         return names, scores
 
 
-def training_rows(docs: DataFrame, per_language: int, seed: int = 23) -> list[tuple[bytes, str]]:
-    """(text, lang) of at most per_language training rows of each language, by a seeded hash.
+def training_rows(docs: DataFrame, per_language: int, seed: int = 23) -> DataFrame:
+    """doc_id, lang and whole text of at most per_language training rows of each language, by a seeded hash.
 
-    Training rows have a text of at most MAX_BYTES, a lang, and a crc32(doc_id) that is not 0
-    modulo 5. A rank limit cuts every partition before the shuffle, so a hot language costs no
-    more than another.
+    Training rows have a text, a lang, and a crc32(doc_id) that is not 0 modulo 5. A rank limit
+    cuts every partition before the shuffle, so a hot language costs no more than another.
     """
     rows = docs.filter("text is not null and lang is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
-    ids = rows.filter(F.octet_length("text") <= MAX_BYTES).select("doc_id", "lang", seeded(seed, F.col("doc_id")).alias("_h")).distinct()
+    ids = rows.select("doc_id", "lang", seeded(seed, F.col("doc_id")).alias("_h")).distinct()
     top = ids.withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id"))).filter(F.col("_r") <= per_language).select("doc_id", "lang")
-    # per_language rows a language: small whatever the corpus' size
-    got = rows.join(F.broadcast(top), ["doc_id", "lang"]).filter(F.octet_length("text") <= MAX_BYTES).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
-    return sorted(((r["text"].encode(), r["lang"]) for r in got.toLocalIterator()), key=lambda x: (x[1], x[0]))
+    return rows.join(small(top), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+
+
+def fit(docs: DataFrame, per_language: int = 1500, share: float = 0.2, least: int = 2, bits: int = 20) -> Model:
+    """Model.fit() of training_rows(), counted by Spark: the driver gets names and the cells of the filters.
+
+    Each task counts its own texts' n-grams by language; the counts are summed, an n-gram's
+    rates compared, and the cells of those that belong somewhere combined by bit_or, so what
+    reaches the driver is the table itself, whatever the texts and however many n-grams.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("langid", dict)
+        for b in batches:
+            held: dict[str, list[np.ndarray]] = {}
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                for g in text_grams(text.as_py()):
+                    held.setdefault(lang, []).append(g)
+                    if len(held[lang]) == 256:
+                        yield summed(lang, held.pop(lang))
+            for lang, parts in held.items():
+                yield summed(lang, parts)
+
+    def summed(lang: str, parts: list[np.ndarray]) -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate(parts), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(n, pa.int64())], ["lang", "k", "n"])
+
+    rows = with_text_bytes(training_rows(docs, per_language), "lang")
+    order = [r["lang"] for r in rows.groupBy("lang").agg(F.count("*").alias("c")).orderBy(F.col("c").desc(), "lang").collect()]
+    planes = Filters.empty(len(order), bits)
+    per = planes[0].dtype.itemsize * 8
+    if not order:
+        return Model(Filters(order, planes, bits))
+    counts = cut(rows.mapInArrow(run, "lang string, k bigint, n bigint").groupBy("lang", "k").agg(F.sum("n").alias("n")), "ngrams")
+    total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    place = docs.sparkSession.createDataFrame([(x, i) for i, x in enumerate(order)], "lang string, i int")
+    rated = counts.join(F.broadcast(total.join(place, "lang")), "lang").withColumn("rate", F.col("n") / F.col("total"))
+    top = rated.groupBy("k").agg(F.max("rate").alias("top"))
+    member = rated.join(top, "k").filter((F.col("rate") >= share * F.col("top")) & (F.col("n") >= least))
+
+    def place_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = b.column(0).to_numpy().astype(np.uint32)
+            for c in cells(keys, bits):
+                yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(c.astype(np.int32))], ["plane", "bit", "cell"])
+
+    member = member.select("k", F.floor(F.col("i") / per).cast("int").alias("plane"), F.expr(f"shiftleft(1L, i % {per})").alias("bit"))
+    found = member.mapInArrow(place_cells, "plane int, bit bigint, cell int").groupBy("plane", "cell").agg(F.bit_or("bit").alias("mask"))
+    table = found.toArrow()  # at most 1 << bits rows a plane of up to 64 languages
+    plane, cell, mask = (table.column(c).to_numpy() for c in ("plane", "cell", "mask"))
+    for p, own in enumerate(planes):
+        at = plane == p
+        own[cell[at]] = mask[at].astype(own.dtype)
+    return Model(Filters(order, planes, bits))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -177,9 +236,11 @@ def predict_languages(docs: DataFrame, per_language: int = 1500) -> DataFrame:
     """Language of every whole text, learned from at most per_language training rows a language.
 
     Every n-gram of a text asks the filters which languages have it; for each language the
-    positives are counted and corrected for false ones, the highest count decides, and the
-    score is its share of all counts. ``und`` with score 0 for a null text or one without a
-    letter, or if there is no training row; a text of which no n-gram is known goes to the
-    most frequent language with score 0. Repeated rows stay; other columns are ignored.
+    positives are counted and corrected for false ones, the highest count decides, of equal
+    ones that of the language with more training rows, and the score is its share of all
+    counts. ``und`` with score 0 for a null or empty text or one without a letter, or if there
+    is no training row; a text of which no n-gram is known goes to the most frequent language
+    with score 0. A very long text is counted in blocks. Repeated rows stay; an empty table
+    gives no rows; other columns are ignored.
     """
-    return identify(docs, Model.fit(training_rows(docs, per_language))).withColumn("held_out", held_out(F.col("doc_id")))
+    return identify(docs, fit(docs, per_language)).withColumn("held_out", held_out(F.col("doc_id")))
