@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pickle
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +36,18 @@ class SmallWorld:
         top = int(levels[0]) if n else 0
         self.sizes = [int((levels >= l).sum()) for l in range(top + 1)]
         self.links = [np.full((s, 2 * _M if l == 0 else _M), -1, np.int32) for l, s in enumerate(self.sizes)]
-        done = 1
+        self._build(width)
+
+    @classmethod
+    def of(cls, unit: np.ndarray, order: np.ndarray, sizes: list[int], links: list[np.ndarray]) -> SmallWorld:
+        """A graph that was built before."""
+        self = cls.__new__(cls)
+        self.n, self.order, self.sizes, self.links = len(unit), order, sizes, links
+        self.x = np.ascontiguousarray(unit[order], np.float32)
+        return self
+
+    def _build(self, width: int) -> None:
+        n, done = self.n, 1
         while done < n:
             end = min(n, done + min(256, done))
             self._insert(done, end, width)
@@ -179,72 +190,98 @@ class SmallWorld:
             active = active[better]
         return here
 
-    def near(self, q: np.ndarray, least: float, width: int) -> list[np.ndarray]:
-        """For each query, row numbers of the nodes found with a product of at least ``least``.
+    def near(self, q: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs (query, row) with a product of at least ``least`` that beams of that width find.
 
-        The beam of a query whose beam is full of such nodes is widened fourfold until some
-        of it is below, so that a large group is found whole.
+        Also the queries whose beam is full of such rows: they stand in a large group, and their
+        pairs are left out here.
         """
-        found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(q)
-        todo = np.arange(len(q))
-        while len(todo):
-            width = min(width, self.n)
-            full = []
-            step = max(1, min(256, (1 << 24) // max(1, self.n)))
-            for at in range(0, len(todo), step):
-                part = todo[at : at + step]
-                ids, sims = self._beam(q[part], 0, width, self.n)
-                hit = (sims >= least) & (ids >= 0)
-                for i, r in enumerate(part):
-                    found[r] = self.order[ids[i][hit[i]]]
-                full.append(part[hit.all(1)])
-            todo = np.concatenate(full) if width < self.n else np.zeros(0, np.int64)
-            width *= 4
-        return found
+        who, rows, full = [], [], []
+        width = min(width, self.n)
+        step = max(1, min(256, (1 << 24) // max(1, self.n)))
+        for at in range(0, len(q), step):
+            ids, sims = self._beam(q[at : at + step], 0, width, self.n)
+            hit = (sims >= least) & (ids >= 0)
+            over = hit.all(1) & (width < self.n)
+            i, k = np.nonzero(hit & ~over[:, None])
+            who.append(at + i)
+            rows.append(self.order[ids[i, k]])
+            full.append(at + np.flatnonzero(over))
+        return np.concatenate(who), np.concatenate(rows), np.concatenate(full)
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-class Shard:
-    """A shard's graph, vectors in double precision, ids and multiplicities."""
+#: Products that are held at once.
+_HELD = 1 << 22
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray):
-        self.ids, self.copies, self.unit = ids, copies, unit_rows(vectors)
-        self.graph = SmallWorld(self.unit)
 
-    def links(self, ids: np.ndarray, vectors: np.ndarray, least: float, width: int, recall: float = 0.995) -> tuple[list[np.ndarray], int]:
-        """Rows of the shard linked with each query, and the beam width that passed the audit.
+class Shard:
+    """A shard's graph, vectors in double precision, ids and multiplicities."""
 
-        Audit: brute force lists the links of up to 64 queries spread over the block, and of up
-        to 64 each of those that found nothing, that found fewer than 8, and that found more.
-        Recall is a query's own share, so that a large group doesn't outvote pairs; its mean,
-        among queries with fewer than 8 links and among the others, must be ``recall`` or more.
-        Otherwise the block is searched again with beams twice as wide, in the end by brute force.
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray, graph: SmallWorld | None = None):
+        self.ids, self.copies, self.vectors, self.unit = ids, copies, vectors, unit_rows(vectors.astype(np.float64))
+        self.graph = SmallWorld(self.unit) if graph is None else graph
+
+    def write(self) -> bytes:
+        """Plain arrays, with nothing that runs when they are read."""
+        out = io.BytesIO()
+        layers = {f"links{i}": x for i, x in enumerate(self.graph.links)}
+        np.savez(out, ids=self.ids, vectors=self.vectors, copies=self.copies, order=self.graph.order, sizes=np.array(self.graph.sizes, np.int64), **layers)
+        return out.getvalue()
+
+    @classmethod
+    def read(cls, data) -> Shard:
+        x = np.load(io.BytesIO(data), allow_pickle=False)
+        unit, sizes = unit_rows(x["vectors"].astype(np.float64)), x["sizes"].tolist()
+        return cls(x["ids"], x["vectors"], x["copies"], SmallWorld.of(unit, x["order"], sizes, [x[f"links{i}"] for i in range(len(sizes))]))
+
+    def links(self, ids: np.ndarray, vectors: np.ndarray, least: float, width: int, recall: float = 0.995) -> tuple[np.ndarray, np.ndarray, int]:
+        """Pairs (query, row of the shard) that are linked, by query, and the beam width that passed the audit.
+
+        A query whose beam is full of links stands in a large group: the products with all rows
+        find its links, which is exact and costs less than wider beams. Audit: brute force lists
+        the links of up to 64 queries spread over the block, and of up to 64 each of those that
+        found nothing, that found fewer than 8, and that found more. Recall is a query's own
+        share, so that a large group doesn't outvote pairs; its mean, among queries with fewer
+        than 8 links and among the others, must be ``recall`` or more. Otherwise the block is
+        searched again with beams twice as wide, in the end by brute force.
         """
-        unit = unit_rows(vectors)
+        unit = unit_rows(vectors.astype(np.float64))
         while True:
             if width >= len(self.ids):
-                rough = [np.flatnonzero(row >= least - 1e-4) for at in range(0, len(unit), 512) for row in unit[at : at + 512] @ self.unit.T]
+                who = row = np.zeros(0, np.int64)
+                full = np.arange(len(unit))
             else:
-                rough = self.graph.near(unit.astype(np.float32), least - 1e-4, width)
-            out = []
-            for i, rows in enumerate(rough):
-                ok = (self.unit[rows] @ unit[i] >= least) & (self.ids[rows] != ids[i])
-                out.append(rows[ok])
+                who, row, full = self.graph.near(unit.astype(np.float32), least - 1e-4, width)
+            step = max(1, _HELD // len(self.ids))
+            parts = [(who, row)]
+            for at in range(0, len(full), step):
+                i, r = np.nonzero(unit[full[at : at + step]] @ self.unit.T >= least - 1e-9)
+                parts.append((full[at + i], r))
+            who, row = (np.concatenate(x) for x in zip(*parts, strict=True))
+            ok = np.zeros(len(who), bool)
+            for at in range(0, len(who), _HELD // 64):
+                cut_ = slice(at, at + _HELD // 64)
+                ok[cut_] = np.einsum("ij,ij->i", unit[who[cut_]], self.unit[row[cut_]]) >= least
+            ok &= self.ids[row] != ids[who]
+            who, row = who[ok], row[ok]
+            order = np.argsort(who, kind="stable")
+            who, row = who[order], row[order]
             if width >= len(self.ids):
-                return out, width
-            n = np.array([len(r) for r in out])
+                return who, row, width
+            n = np.bincount(who, minlength=len(unit))
             strata = [np.arange(len(n)), np.flatnonzero(n == 0), np.flatnonzero((n > 0) & (n < 8)), np.flatnonzero(n >= 8)]
             pick = np.unique(np.concatenate([x[np.linspace(0, len(x) - 1, min(64, len(x))).astype(np.int64)] for x in strata]))
             want = np.zeros(len(pick), np.int64)
-            for at in range(0, len(pick), 64):
-                part = pick[at : at + 64]
-                want[at : at + 64] = ((unit[part] @ self.unit.T >= least) & (self.ids[None, :] != ids[part][:, None])).sum(1)
+            for at in range(0, len(pick), step):
+                part = pick[at : at + step]
+                want[at : at + step] = ((unit[part] @ self.unit.T >= least) & (self.ids[None, :] != ids[part][:, None])).sum(1)
             share = n[pick] / np.maximum(want, 1)
             if all(share[x].mean() >= recall for x in ((want > 0) & (want < 8), want >= 8) if x.any()):
-                return out, width
+                return who, row, width
             width *= 2
 
 
@@ -255,35 +292,40 @@ def _valid(vec: str):
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+    """Vectors as they are, in single or double precision."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.95, shards: int | None = None, blocks: int | None = None, width: int = 24, shard_rows: int = 1 << 17, block_rows: int = 1 << 20) -> DataFrame:
+def near_duplicates(vectors: DataFrame, least: float = 0.95, shards: int | None = None, blocks: int | None = None, width: int = 24, shard_bytes: int = 1 << 26) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of (vec_id, embedding).
 
     Equal vectors become one node with a multiplicity. Nodes are dealt into ``shards`` by a
     hash of their id; each shard's graph is built once, by one task, and written to the
     shared folder. Every node queries every shard, in ``blocks`` blocks of queries a shard:
-    a task holds one graph and streams its queries. Unless they are given, there are 8 shards
-    and 3 blocks, and more as soon as they would exceed shard_rows or block_rows nodes; so
-    neither a graph nor a task outgrows its memory, and the work is rows x shards. What it finds is verified as a cosine in
-    double precision. Of each query it emits the number of its links and of all its links a
-    spanning forest, never the pairs, so a group of g near copies costs g rows a shard.
+    a task holds one graph and streams its queries, which travel in the precision they have.
+    Unless they are given, there are 4 shards, and more as soon as their vectors would exceed
+    shard_bytes in double precision, and enough blocks for two tasks a core, and more as soon as
+    a block would exceed 8 * shard_bytes; so neither a graph nor a task outgrows its memory, and
+    the work is rows x shards. What it finds is verified as a cosine in double precision. Of each
+    query it emits the number of its links and of all its links a spanning forest, never the
+    pairs, so a group of g near copies costs g rows a task.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with
     nothing, and neither do vectors of different lengths or rows without vec_id (their component_id is
-    null and they are not kept). Of rows that repeat a vec_id, the least vector counts, and each
-    row gets its result. An empty table gives no rows. Other columns are ignored.
+    null and they are not kept). Rows that repeat both vec_id and vector are one vector; rows that
+    repeat a vec_id with another vector are vectors of their own, compared with all, and each row
+    gets its vector's result. An empty table gives no rows. Other columns are ignored.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
-    each = rows.filter(F.col("vec_id").isNotNull()).filter(_valid("e")).groupBy("vec_id").agg(F.min("e").alias("e"))
-    nodes = cut(each.groupBy("e").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumn("dim", F.size("e")), "vectors")
-    n = nodes.count()
-    shards = shards or max(8, -(-n // shard_rows))
-    blocks = blocks or max(3, -(-n // block_rows))
-    nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int"))
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("e"))
+    each = rows.filter(F.col("vec_id").isNotNull()).filter(_valid("e")).distinct()
+    nodes = cut(each.groupBy("e").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies")).withColumns({"dim": F.size("e"), "node": F.monotonically_increasing_id()}), "vectors")
+    n, dim = nodes.agg(F.count("*"), F.max("dim")).first()
+    shards = shards or max(4, -(-n * (dim or 0) * 8 // shard_bytes))
+    blocks = blocks or max(-(-2 * spark.sparkContext.defaultParallelism // shards), -(-n * (dim or 0) // shard_bytes))
+    nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
@@ -305,60 +347,57 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, shards: int | None
 
     def graph(key, held) -> pa.RecordBatch:
         ids, vecs, copies = (np.concatenate(x) for x in zip(*held, strict=True))
-        data = pickle.dumps(Shard(ids, vecs, copies), protocol=5)
+        data = Shard(ids, vecs, copies).write()
         return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([data], pa.binary())], ["dim", "shard", "graph"])
 
-    ready = nodes.repartition(shards, "dim", "shard").sortWithinPartitions("dim", "shard", "rep").select("dim", "shard", "rep", "copies", "e")
+    ready = nodes.repartitionById(shards, F.col("shard")).sortWithinPartitions("dim", "shard", "node").select("dim", "shard", "node", "copies", "e")
     graphs = cut(ready.mapInArrow(build, "dim int, shard int, graph binary"), "graphs")
-    block = F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(blocks)).cast("int")
-    asks = nodes.select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block.alias("block"), F.lit(None).cast("binary").alias("graph"), "rep", "e")
-    gives = graphs.select("dim", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "graph", F.lit(None).cast("long").alias("rep"), F.lit(None).cast("array<double>").alias("e"))
-    tasks = gives.unionByName(asks).repartition(shards * blocks, "dim", "shard", "block").sortWithinPartitions("dim", "shard", "block", F.col("rep").asc_nulls_first())
+    block = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(blocks)).cast("int")
+    asks = nodes.select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block.alias("block"), F.lit(None).cast("binary").alias("graph"), "node", "e")
+    gives = graphs.select("dim", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "graph", F.lit(None).cast("long").alias("node"), F.lit(None).cast(kind).alias("e"))
+    tasks = gives.unionByName(asks).repartitionById(shards * blocks, F.col("shard") * blocks + F.col("block")).sortWithinPartitions("dim", F.col("node").asc_nulls_first())
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, parent, wide = None, {}, width
-
-        def root(x):
-            while parent.setdefault(x, x) != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
+        shard, first, wide = None, None, width
         for b in batches:
             blob = b.column(0)
             starts = [i for i in range(b.num_rows) if blob[i].is_valid] if blob.null_count < b.num_rows else []
             for a, z in zip([0, *starts], [*starts, b.num_rows], strict=True):
                 if a < b.num_rows and blob[a].is_valid:
-                    shard, parent, wide = pickle.loads(blob[a].as_buffer()), {}, width
+                    shard, wide = Shard.read(blob[a].as_buffer()), width
+                    first = np.full(len(shard.ids), -1)
                     a += 1
                 if a >= z or shard is None:
                     continue
                 part = b.slice(a, z - a)
                 ids = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-                found, wide = shard.links(ids, _matrix(part.column(2)), least, wide)
-                q, v, n = [], [], []
-                for i, hit in zip(ids.tolist(), found, strict=True):
-                    if not len(hit):
-                        continue
-                    q.append(i)
-                    v.append(None)
-                    n.append(int(shard.copies[hit].sum()))
-                    for other in shard.ids[hit].tolist():
-                        x, y = root(i), root(other)
-                        if x != y:
-                            parent[max(x, y)] = min(x, y)
-                            q.append(i)
-                            v.append(other)
-                            n.append(0)
-                if q:
-                    yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(n, pa.int64())], ["u", "v", "n"])
-
-    found = cut(tasks.select("graph", "rep", "e").mapInArrow(search, "u bigint, v bigint, n bigint"), "links")
-    roots = connected(found.filter("v is not null").select("u", "v"))
+                who, row, wide = shard.links(ids, _matrix(part.column(2)), least, wide)
+                if not len(who):
+                    continue
+                asked, at = np.unique(who, return_index=True)
+                u, v = [ids[asked]], [np.zeros(len(asked), np.int64)]
+                n = np.add.reduceat(shard.copies[row], at)
+                for i, x, y in zip(ids[asked].tolist(), at.tolist(), [*at[1:].tolist(), len(row)], strict=True):
+                    # rows that nothing in this task reached before, and for the others what reached them first
+                    r = row[x:y]
+                    before = first[r]
+                    new = r[before < 0]
+                    first[new] = i
+                    others = np.concatenate([shard.ids[new], np.unique(before[before >= 0])])
+                    u.append(np.full(len(others), i))
+                    v.append(others)
+                u, v = np.concatenate(u), np.concatenate(v)
+                counted = np.arange(len(u)) < len(asked)
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v, mask=counted), pa.array(np.concatenate([n, np.zeros(len(u) - len(n), np.int64)]))], ["u", "v", "n"])
+
+    found = cut(tasks.select("graph", "node", "e").mapInArrow(search, "u bigint, v bigint, n bigint"), "links")
+    roots = connected(found.filter("v is not null and u <> v").select("u", "v")).withColumnRenamed("node", "_n")
     degree = found.filter("v is null").groupBy("u").agg(F.sum("n").alias("n"))
-    known = nodes.select("e", "rep", "copies").join(degree, F.col("rep") == F.col("u"), "left").join(roots, F.col("rep") == F.col("node"), "left")
-    known = known.select(F.col("e").alias("_e"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
-    of = each.join(known, each["e"] == known["_e"]).select(F.col("vec_id").alias("_v"), "n_links", "component_id")
-    out = rows.select("vec_id").join(of, rows["vec_id"] == of["_v"], "left")
+    named = nodes.select("node", "e", "least", "copies").join(roots, F.col("node") == F.col("_n"), "left").withColumn("root", F.coalesce("root", "node"))
+    component = named.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "_r")
+    known = named.join(component, F.col("root") == F.col("_r")).join(degree, F.col("node") == F.col("u"), "left")
+    known = known.select(F.col("e").alias("_e"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
+    asked = F.when(F.col("vec_id").isNotNull() & _valid("e"), F.col("e"))
+    out = rows.withColumn("e", asked).join(known, F.col("e") == F.col("_e"), "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
