@@ -17,7 +17,7 @@ ORACLE: dict[str, str] = {}
 ORACLE["op2_stratified_shards"] = f"""WITH {_CRC},
 h AS (SELECT doc_id, source, n_bytes+1 AS size, text_crc32, {_HASH.format(seed=7)} AS h FROM checked),
 r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, doc_id)-1 AS r, count(*) OVER (PARTITION BY source) AS n, count(*) OVER () AS total FROM h),
-p AS (SELECT *, row_number() OVER (ORDER BY CAST(2*r+1 AS DOUBLE)/CAST(2*n AS DOUBLE), source, h, doc_id)-1 AS ord FROM r)
+p AS (SELECT *, row_number() OVER (ORDER BY (CAST(r AS DOUBLE)+CAST({_HASH.replace('doc_id', 'source').format(seed=8)} AS DOUBLE)/1152921504606846976::DOUBLE)/CAST(n AS DOUBLE), source, h, doc_id)-1 AS ord FROM r)
 SELECT doc_id, source, CAST(size AS BIGINT) AS size, text_crc32, 'rows' AS law, CAST(ord*16//total AS INT) AS shard, ord-((ord*16//total)*total+15)//16 AS slot, CAST(NULL AS INT) AS grown_shard FROM p"""
 
 ORACLE["op1_embedding_hnsw"] = """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
