@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rastercube.llm.shared import before, bucket_of, seeded
+from rastercube.llm.shared import BUCKETS, before, bucket_of, seeded
 
 #: Words are maximal runs of bytes that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,7 +56,8 @@ def curriculum(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3
     4096 of them. Returns one row a document: doc_id, source, size, source_size, target,
     taken (size * copies), positions (array of one double for each copy). Null texts and
     texts without words have size 0 and no copies; a null source is a source; repeated rows
-    stay apart; an empty table gives no rows. Columns named in ``carry`` come along with their
+    stay apart; of equal hashes doc_id, checksum and size decide; a very long text is one
+    document, whose words are counted whole; an empty table gives no rows. Columns named in ``carry`` come along with their
     row; others are ignored.
     """
     carried = [F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)]
@@ -79,7 +80,17 @@ def curriculum(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3
     return rows.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.size("_starts")).cast("long").alias("taken"), F.expr(f"transform(_starts, x -> {inverse})").alias("positions"), *[F.col(f"_carry{i}").alias(c) for i, c in enumerate(carry)])
 
 
-def training_order(mix: DataFrame, partitions: int | None = None) -> DataFrame:
-    """The copies of curriculum()'s rows as a range-sorted stream: doc_id, copy, position."""
-    copies = mix.select("doc_id", "source", "size", F.posexplode("positions").alias("copy", "position"))
-    return copies.orderBy("position", "doc_id", "copy") if partitions is None else copies.repartitionByRange(partitions, "position", "doc_id", "copy").sortWithinPartitions("position", "doc_id", "copy")
+def training_ranks(mix: DataFrame) -> DataFrame:
+    """The copies of curriculum()'s rows, range-sorted by position: all its columns, copy, position and training_rank.
+
+    training_rank counts the copies that come earlier, by (position, doc_id, copy); documents
+    without copies keep one row with nulls. Positions are dealt into ranges of equal length,
+    which hold about as many words each; a range is sorted by one task, and what comes before
+    it is a running sum over one row a range.
+    """
+    copies = mix.select("*", F.posexplode_outer("positions").alias("copy", "position"))
+    copies = copies.withColumn("_range", F.coalesce(F.floor(F.least(F.col("position"), F.lit(1.0)) * BUCKETS).cast("int"), F.lit(BUCKETS + 1)))
+    # documents without copies come last, in as many ranges
+    copies = copies.withColumn("_range", F.when(F.col("position").isNull(), F.col("_range") + F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")).otherwise(F.col("_range")))
+    ranked = before(copies, [], "_range", F.lit(1).cast("long"), [F.col("position"), F.col("doc_id"), F.col("copy")], "training_rank")
+    return ranked.withColumn("training_rank", F.when(F.col("position").isNotNull(), F.col("training_rank"))).drop("_range")

@@ -58,5 +58,8 @@ o AS (SELECT *, sum(source_size) OVER () - coalesce(sum(lim) OVER p,0) AS rest,
 f AS (SELECT min(j) AS j FROM o WHERE rest*w<=lim*lft),
 g AS (SELECT o.source, source_size, slope, CASE WHEN o.j<f.j THEN lim::DOUBLE ELSE CAST((SELECT rest FROM o x WHERE x.j=f.j)*w AS DOUBLE)/CAST((SELECT lft FROM o x WHERE x.j=f.j) AS DOUBLE) END AS target FROM o, f),
 r AS (SELECT d.*, CAST(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id ROWS UNBOUNDED PRECEDING)-size AS BIGINT) AS before FROM d),
-c AS (SELECT doc_id, size, source_size, target, slope, list_filter(list_transform(range(3), lambda e: {_START}), lambda x: size>0 AND 2*x+size<=2*target) AS starts FROM r JOIN g ON r.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, size, source_size, target, CAST(size*len(starts) AS BIGINT) AS taken, 2*(starts[1]/target)/((1+slope)+sqrt(greatest(0::DOUBLE,(1+slope)*(1+slope)-4*slope*(starts[1]/target)))) AS first_position FROM c"""
+c AS (SELECT doc_id, size, source_size, target, slope, list_filter(list_transform(range(3), lambda e: {_START}), lambda x: size>0 AND 2*x+size<=2*target) AS starts FROM r JOIN g ON r.source IS NOT DISTINCT FROM g.source),
+e AS (SELECT *, unnest(starts) AS x, generate_subscripts(starts, 1) AS i FROM c),
+k AS (SELECT doc_id, i, 2*(x/target)/((1+slope)+sqrt(greatest(0::DOUBLE,(1+slope)*(1+slope)-4*slope*(x/target)))) AS position FROM e),
+t AS (SELECT *, row_number() OVER (ORDER BY position, doc_id, i)-1 AS training_rank FROM k)
+SELECT doc_id, size, source_size, target, CAST(size*len(starts) AS BIGINT) AS taken, position AS first_position, training_rank FROM c LEFT JOIN (SELECT * FROM t WHERE i=1) USING(doc_id)"""

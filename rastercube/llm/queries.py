@@ -49,9 +49,10 @@ def op5_wu_manber_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the curriculum takes of each document, and its first position (null if nothing)."""
-    mix = mixing.curriculum(table(spark, sf_dir, "documents"))
-    return mix.select("doc_id", "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("first_position"))
+    """What the curriculum takes of each document, and position and rank of its first copy (null if nothing)."""
+    order = mixing.training_ranks(mixing.curriculum(table(spark, sf_dir, "documents")))
+    first = order.filter("copy is null or copy = 0")
+    return first.select("doc_id", "size", "source_size", "target", "taken", F.col("position").alias("first_position"), "training_rank")
 
 
 def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,8 +111,11 @@ def test_curriculum(odd, none, odd_rows):
         assert abs(sum(r["taken"] for r in own) - goal[s]) <= max(r["size"] for r in own) / 2 + 1e-6
     for r in got:
         assert r["taken"] == r["size"] * len(r["positions"]) <= 3 * r["size"] and all(0 <= p <= 1 for p in r["positions"])
-    order = mixing.training_order(mixing.curriculum(odd)).collect()
-    assert [r["position"] for r in order] == sorted(r["position"] for r in order) and len(order) == sum(len(r["positions"]) for r in got)
+    ranked = mixing.training_ranks(mixing.curriculum(odd)).collect()
+    order = sorted((r for r in ranked if r["training_rank"] is not None), key=lambda r: r["training_rank"])
+    assert [r["training_rank"] for r in order] == list(range(sum(len(r["positions"]) for r in got)))
+    assert [r["position"] for r in order] == sorted(r["position"] for r in order) == sorted(p for r in got for p in r["positions"])
+    assert len(ranked) - len(order) == sum(not r["positions"] for r in got) and sum(r["copy"] in (None, 0) for r in ranked) == len(got)
     assert mixing.curriculum(none).count() == 0
 
 
