@@ -117,53 +117,62 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = 1 << 20) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = 1 << 20, held_bytes: int = 16 << 20) -> DataFrame:
     """All columns of docs, and n_words, spans (array of start, end by turns), items (sorted ids).
 
     The benchmark is a query set: it is dealt into blocks of about block_bytes of text by a
-    hash of the item, each block's tables are broadcast, and every document passes all blocks
-    in one job; a document's row is never shuffled. A benchmark beyond one block costs more
-    passes, not more memory. Null texts and texts without words have no words and no hits;
-    benchmark rows without words or id match nothing; rows that repeat an item_id are one item;
-    repeated documents keep their rows; an empty benchmark leaves every document clean.
+    hash of the item, each with tables of its own, and broadcast. One pass of a worker over a
+    batch of documents asks all blocks in turn; it keeps the tables of held_bytes of blocks
+    and builds further ones anew for each batch, so a larger benchmark costs time, not memory.
+    Beyond 64 times held_bytes there are several passes. A document's row is never shuffled.
+
+    Null texts and texts without words have no words and no hits; very long texts are searched
+    in pieces; benchmark rows without words or id match nothing; rows that repeat an item_id are
+    one item; repeated documents keep their rows; equal windows of several items count for each
+    item; an empty benchmark leaves every document clean, and an empty table gives no rows.
     Columns named n_words, spans, items or _text are replaced.
     """
     spark = docs.sparkSession
     bench = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).filter("item is not null and text is not null")
     total = bench.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    parts = max(1, -(-total // block_bytes))
+    parts, held = max(1, -(-total // block_bytes)), max(1, held_bytes // block_bytes)
     bench = bench.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(parts)))
     keep = [c for c in docs.columns if c not in ("n_words", "spans", "items", "_text")]
     empty = F.array().cast("array<string>")
     out = docs.select(*keep, F.col("text").cast("binary").alias("_text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<bigint>").alias("spans"), empty.alias("items"))
-    for part in range(parts):
-        # at most about block_bytes, whatever the benchmark's size
-        block = [(r["item"], bytes(r["text"])) for r in bench.filter(F.col("part") == part).toLocalIterator()]
-        key = (hashlib.sha256(repr(block).encode()).hexdigest(), size)
-        out = _pass(out, spark.sparkContext.broadcast(block), size, key)
+    for low in range(0, parts, 64 * held):
+        # at most 64 * held_bytes, whatever the benchmark's size
+        some: dict[int, list] = {}
+        for r in bench.filter(F.col("part").between(low, low + 64 * held - 1)).toLocalIterator():
+            some.setdefault(r["part"], []).append((r["item"], bytes(r["text"])))
+        blocks = [some[k] for k in sorted(some)] or [[]]
+        key = (hashlib.sha256(repr(blocks).encode()).hexdigest(), size)
+        out = _pass(out, spark.sparkContext.broadcast(blocks), size, held, key)
     return out.drop("_text")
 
 
-def _pass(docs: DataFrame, block, size: int, key) -> DataFrame:
+def _pass(docs: DataFrame, blocks, size: int, held: int, key) -> DataFrame:
     names = docs.columns
     at = {c: names.index(c) for c in ("_text", "n_words", "spans", "items")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searcher = hold(key, lambda: Searcher(block.value, size))
+        kept = hold(key, lambda: [Searcher(x, size) for x in blocks.value[:held]])
         for b in batches:
-            n_words, spans, items = [], [], []
-            for text, old, had in zip(b.column(at["_text"]), b.column(at["spans"]), b.column(at["items"]), strict=True):
-                n, found, who = searcher.search(text.as_py())
-                flat = old.as_py()
-                if flat and found:
-                    found = merged(found + list(zip(flat[0::2], flat[1::2], strict=True)))
-                n_words.append(n)
-                spans.append([x for s in found for x in s] or flat)
-                items.append(sorted(who.union(had.as_py())))
+            texts = b.column(at["_text"])
+            n_words = [0] * b.num_rows
+            spans = [list(zip(x[0::2], x[1::2], strict=True)) for x in b.column(at["spans"]).to_pylist()]
+            items = [set(x) for x in b.column(at["items"]).to_pylist()]
+            for i in range(len(blocks.value)):
+                searcher = kept[i] if i < held else Searcher(blocks.value[i], size)
+                for j, text in enumerate(texts):
+                    n_words[j], found, who = searcher.search(text.as_py())
+                    if found:
+                        spans[j] = merged(spans[j] + found) if spans[j] else found
+                        items[j] |= who
             columns = list(b.columns)
             columns[at["n_words"]] = pa.array(n_words, pa.int64())
-            columns[at["spans"]] = pa.array(spans, pa.list_(pa.int64()))
-            columns[at["items"]] = pa.array(items, pa.list_(pa.string()))
+            columns[at["spans"]] = pa.array([[x for s in found for x in s] for found in spans], pa.list_(pa.int64()))
+            columns[at["items"]] = pa.array([sorted(x) for x in items], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.mapInArrow(run, docs.schema)
