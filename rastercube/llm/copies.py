@@ -155,7 +155,7 @@ def set_rows(docs: DataFrame, similarity: float, common, width: int = 3) -> Data
 
         hold("copies", dict)
         first, seen = TaskContext.get().partitionId() << 33, {}
-        table, count, _ = common.value
+        table, count = common.value
         for b in batches:
             fps, nodes, n, bits, head = [], [], [], [], []
             for t in (x.as_py() for x in b.column(2)):
@@ -348,7 +348,9 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3) -> Da
     spark = docs.sparkSession
     h, n, sample = common_shingles(docs)
     hot = h[n >= max(3, sample // 100)]
-    rows = cut(set_rows(docs, similarity, spark.sparkContext.broadcast((h, n, sample))), "set-rows")
+    common = spark.sparkContext.broadcast((h, n))  # at most as many shingles as common_shingles() gives
+    rows = cut(set_rows(docs, similarity, common), "set-rows")
+    common.destroy()
     nodes = rows.filter("n is not null").select("node", "fp", "n", "bits", "key", "head")
     head = cut(nodes.groupBy("fp").agg(F.min("node").alias("head")), "fingerprint-heads")
     same = nodes.select("node", "fp").join(head, "fp").select(F.col("node").alias("u"), F.col("head").alias("v"))

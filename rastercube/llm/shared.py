@@ -46,6 +46,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
+    give_back()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -99,6 +100,14 @@ def with_text_bytes(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns, F.col("text").cast("binary").alias("text"))
 
 
+def give_back() -> None:
+    """Return what this process has freed to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library is not glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 _held: dict = {}
 
 
@@ -110,10 +119,7 @@ def hold(key, make):
     """
     if key not in _held:
         _held.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # where the C library is not glibc
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        give_back()
         _held[key] = make()
     return _held[key]
 

@@ -279,6 +279,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, class_bytes:
                 network, arrays = Network(), np.load(io.BytesIO(r["network"]))
                 network.emb, network.dense = arrays["emb"], {k: arrays[k] for k in network.dense}
             found[which[r["i"]]] = network, np.array(r["scores"])
+        held.destroy()
         return found
 
     return Classifier.fit(training_rows(docs, labels, per_class, class_bytes), each)
