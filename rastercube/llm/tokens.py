@@ -152,7 +152,9 @@ _PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{
 _PLAIN = regex.compile("[\t\n\r -~À-ÖØ-öø-ſ]*")
 _CROWDED = regex.compile(r" \s")
 _APART = regex.compile(r"(?<=\S)(?= \S)", regex.V1)
-_CHUNKS, _WORDS = 200_000, 250_000
+_CHUNKS, _WORDS = 300_000, 50_000
+#: Marks that are a piece of their own behind a word, whatever follows the space after them.
+_MARKS = ".,;:!?"
 
 
 class Encoder:
@@ -176,6 +178,7 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.shown = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(plain))}
+        self.marks = {m: self.token(m) for m in _MARKS} if self.fast else {}
 
     def pack(self, ids: list[int]) -> bytes:
         return array("H" if self.width == 2 else "I", ids).tobytes()
@@ -183,6 +186,11 @@ class Encoder:
     def direct(self, text: str) -> bytes:
         return self.pack(self.library.encode(text, add_special_tokens=False).ids)
 
+    def token(self, s: str) -> bytes:
+        """The ids of one piece, as the tokenizer's pattern cuts it."""
+        shown = s if s.isascii() else s.encode().decode("latin-1")
+        return self.pack([t.id for t in self.model.tokenize(shown.translate(self.shown))])
+
     def piece(self, s: str) -> bytes:
         if not _PLAIN.fullmatch(s):
             return self.direct(s)
@@ -190,7 +198,7 @@ class Encoder:
         for w in _PATTERN.findall(s):
             got = get(w)
             if got is None:
-                got = self.pack([t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.shown))])
+                got = self.token(w)
                 if len(self.words) < _WORDS:
                     self.words[w] = got
             out.append(got)
@@ -198,7 +206,12 @@ class Encoder:
 
     def spaced(self, c: str) -> bytes:
         """The ids of a space and c."""
-        got = self.piece(" " + c)
+        if c.isalpha() and (c.isascii() or _PLAIN.fullmatch(c)):
+            got = self.token(" " + c)
+        elif c[-1:] in self.marks and (stem := c[:-1]).isalpha() and (c.isascii() or _PLAIN.fullmatch(c)):
+            got = (self.chunks.get(stem) or self.token(" " + stem)) + self.marks[c[-1]]
+        else:
+            got = self.piece(" " + c)
         if len(self.chunks) < _CHUNKS:
             self.chunks[c] = got
         return got
@@ -218,7 +231,7 @@ class Encoder:
 # ---- write and read --------------------------------------------------------------------------
 
 
-def write_segments(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2, segment_ids: int = 1 << 20) -> None:
+def write_segments(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2, segment_ids: int = 1 << 25) -> None:
     """Encode every document and write segment files under path, in ascending doc_id order.
 
     Documents are range-partitioned by doc_id and sorted inside a partition; a task streams
@@ -228,8 +241,9 @@ def write_segments(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.js
     cast to string keeps its bytes, and one record a file makes a file of it; the writer
     puts one line feed behind, which readers skip.
 
-    A null text is empty: its ids are the end id alone. Null doc_ids come first. Rows that
-    repeat a doc_id stay next to each other. An empty table makes no segment. Other
+    A null text is empty: its ids are the end id alone; a very long one is encoded whole. Null
+    doc_ids come first. Rows that repeat a doc_id stay next to each other, in the order of a
+    hash of the text. An empty table makes no segment. Other
     columns are ignored. doc_id must be an integer type.
     """
     file = tokenizer if "/" in tokenizer else tokenizer_path(tokenizer)
@@ -276,17 +290,25 @@ def read_segments(spark, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, kind)
 
 
+def manifest_path(path: str) -> str:
+    return path.rstrip("/") + "-manifest"
+
+
 def token_index(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2, path: str | None = None) -> DataFrame:
     """Write docs as segments (into the shared folder unless a path is given) and index the files.
 
     Returns from the files: doc_id, start (ids of all documents before it), n_tokens and
-    ids_crc32, and the document's file as (part, seq, slot). The files stay.
+    ids_crc32, and the document's file as (part, seq, slot). The files stay, and beside them
+    a manifest with (part, seq, n_docs, n_ids, start) of each, so that a reader of some
+    documents need not open the others' files. Null, empty and repeated rows are as
+    write_segments() says; an empty table gives no rows.
     """
     spark = docs.sparkSession
     path = path or shared_path(spark, "tokens")
     write_segments(docs, path, tokenizer, end_id)
     rows = cut(read_segments(spark, path), "token-rows")
-    bases = before(rows.filter("slot = 0").select("part", "seq", "segment_ids"), [], "part", F.col("segment_ids"), [F.col("seq")], "_first")
-    bases = bases.select(F.col("part").alias("_p"), F.col("seq").alias("_q"), "_first")
+    files = rows.groupBy("part", "seq").agg(F.count("*").alias("n_docs"), F.first("segment_ids").alias("n_ids"))
+    before(files, [], "part", F.col("n_ids"), [F.col("seq")], "start").write.parquet(manifest_path(path))
+    bases = spark.read.parquet(manifest_path(path)).select(F.col("part").alias("_p"), F.col("seq").alias("_q"), F.col("start").alias("_first"))
     out = rows.join(bases, (rows["part"] == bases["_p"]) & (rows["seq"] == bases["_q"]))
     return out.select("doc_id", (F.col("_first") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", "part", "seq", "slot")
