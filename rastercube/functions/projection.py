@@ -26,3 +26,11 @@ def utm(lon: Column, lat: Column, zone: int, north: bool = True) -> tuple[Column
         east = east + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         along = along + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
     return _EAST + _K * radius * east, (0.0 if north else _SOUTH) + _K * radius * along
+
+
+def utm_zone(crs: str) -> tuple[int, bool] | None:
+    """(zone, north) of EPSG:326zz and EPSG:327zz, else None."""
+    code = crs.removeprefix("EPSG:")
+    if code.isdigit() and len(code) == 5 and code[:3] in ("326", "327") and 1 <= int(code[3:]) <= 60:
+        return int(code[3:]), code[2] == "6"
+    return None

@@ -92,14 +92,6 @@ def legend_label(line: Column) -> Column:
     return F.regexp_extract(F.trim(line), r"^(\d+)\s+(.*)$", 2)
 
 
-def starts(length: int, size: int, stride: int) -> list[int]:
-    """Tile starts along one axis: every stride, and the last start that fits."""
-    if length < size:
-        return []
-    last = length - size
-    return [*range(0, last + 1, stride), *([last] if last % stride else [])]
-
-
 def covering_starts(at: Column, length: int, size: int, stride: int) -> Column:
     """The tile starts whose tiles cover a row or column: the join key of tiles and pixels, by arithmetic."""
     last = length - size

@@ -49,11 +49,15 @@ def interpolate(cube: DataFrame, value: str, max_gap: int = 12) -> DataFrame:
     return rows.withColumn("filled", fill).drop("_a", "_b")
 
 
-def histogram(values: DataFrame, value: str, low: float, high: float, bins: int) -> DataFrame:
-    """bin (0 to bins - 1) and n of equal-width bins; the upper bound belongs to the last."""
+def histogram(values: DataFrame, value: str, bins: int) -> DataFrame:
+    """bin (0 to bins - 1) and n of equal-width bins from the least to the greatest value, both included.
+
+    Every value that is not null is in some bin; if all are equal, in the first.
+    """
+    rows = values.filter(F.col(value).isNotNull())
+    low, high = rows.agg(F.min(value)).scalar(), rows.agg(F.max(value)).scalar()
     at = F.least(F.floor((F.col(value) - low) / ((high - low) / bins)), F.lit(bins - 1))
-    rows = values.filter(F.col(value).between(low, high))
-    return rows.groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    return rows.groupBy(F.coalesce(F.when(high > low, at), F.lit(0)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
 def max_abs_difference(a: DataFrame, b: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -79,13 +83,6 @@ def no_leak(covered: DataFrame, patch: DataFrame, splits: dict[str, int]) -> Dat
     return rows.groupBy("split").agg(F.count("*").alias("pixels"), F.count_if((F.col("split_id") != own) & (F.col("split_id") != 0)).alias("foreign"))
 
 
-def sample_checks(sample: DataFrame, length: int) -> DataFrame:
-    """One row: samples, and how many break a rule of their index (all should be 0)."""
-    indices = F.col("input_month_indices")
-    contiguous = F.forall(F.sequence(F.lit(1), F.lit(length - 1)), lambda k: F.get(indices, k.cast("int")) == F.get(indices, (k - 1).cast("int")) + 1) if length > 1 else F.lit(True)
-    return sample.agg(F.count("*").alias("samples"), F.count_if(F.size(indices) != length).alias("bad_length"), F.count_if(~contiguous).alias("gaps"), F.count_if(F.element_at(indices, -1) + 1 != F.col("target_month_index")).alias("bad_target"), (F.count("*") - F.count_distinct("sample_id")).alias("repeated_ids"))
-
-
 def profile(pixel: DataFrame, height: int, width: int) -> DataFrame:
     """axis, at, split_id along the middle row and the middle column."""
     mid = pixel.filter(F.col("row") == height // 2).select(F.lit("row").alias("axis"), F.col("col").alias("at"), "split_id")

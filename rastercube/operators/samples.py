@@ -47,21 +47,31 @@ def dense(cube: DataFrame, pixel: DataFrame, months: DataFrame) -> DataFrame:
     return grid.join(cube, ["row", "col", "month_idx"], "left")
 
 
-def sample_values(sample: DataFrame, cube: DataFrame, terrain: DataFrame, stats: DataFrame, bands: list[str], static: list[str]) -> DataFrame:
-    """X in long form: sample_id, t, channel_idx, channel, i, j, z.
+def tile_planes(sample: DataFrame, cube: DataFrame, terrain: DataFrame, stats: DataFrame, bands: list[str], static: list[str]) -> DataFrame:
+    """row_off, col_off, month_idx, channel_idx, channel and cells (i, j, z in row-major order) of every tile that samples use.
 
-    Samples explode into (month, tile); cube rows into the tiles that samples ask for. The two
-    meet in an equi-join on month, tile row and tile column, by pixel position inside.
+    The cube is normalised once, a cell at a time; then a plane is put together once a tile,
+    month and band, however many samples read it.
     """
     tiles = sample.select("row_off", "col_off", "height", "width").distinct()
-    wanted = sample.select("sample_id", "row_off", "col_off", F.posexplode("input_month_indices").alias("t", "month_idx"))
-    rows = static_override(cube, terrain, static) if static else cube
     cell = F.explode(F.expr("flatten(transform(sequence(0, height - 1), i -> transform(sequence(0, width - 1), j -> struct(row_off + i as row, col_off + j as col, i as i, j as j))))"))
     place = tiles.select("row_off", "col_off", cell.alias("p")).select("row_off", "col_off", "p.*")
+    rows = normalised(melt(static_override(cube, terrain, static) if static else cube, bands), stats)
     inside = place.join(rows, ["row", "col"])
-    picked = inside.join(wanted, ["row_off", "col_off", "month_idx"])
-    long = picked.select("sample_id", "t", "i", "j", F.explode(F.array(*[F.struct(F.lit(k).alias("channel_idx"), F.lit(b).alias("channel"), F.col(b).cast("double").alias("value")) for k, b in enumerate(bands)])).alias("s")).select("sample_id", "t", "i", "j", "s.*")
-    return normalised(long, stats).select("sample_id", "t", "channel_idx", "channel", "i", "j", "z")
+    cells = F.array_sort(F.collect_list(F.struct("i", "j", "z"))).alias("cells")
+    return inside.groupBy("row_off", "col_off", "month_idx", "channel_idx", "channel").agg(cells)
+
+
+def sample_planes(sample: DataFrame, cube: DataFrame, terrain: DataFrame, stats: DataFrame, bands: list[str], static: list[str]) -> DataFrame:
+    """sample_id, t, channel_idx, channel, cells: tile_planes() dealt out to the samples by an equi-join on tile and month."""
+    wanted = sample.select("sample_id", "row_off", "col_off", F.posexplode("input_month_indices").alias("t", "month_idx"))
+    planes = tile_planes(sample, cube, terrain, stats, bands, static)
+    return planes.join(wanted, ["row_off", "col_off", "month_idx"]).select("sample_id", "t", "channel_idx", "channel", "cells")
+
+
+def sample_values(sample: DataFrame, cube: DataFrame, terrain: DataFrame, stats: DataFrame, bands: list[str], static: list[str]) -> DataFrame:
+    """X in long form: sample_id, t, channel_idx, channel, i, j, z."""
+    return sample_planes(sample, cube, terrain, stats, bands, static).select("sample_id", "t", "channel_idx", "channel", F.inline("cells"))
 
 
 def targets(sample: DataFrame, cube: DataFrame, stats: DataFrame, band: str) -> DataFrame:
@@ -72,7 +82,6 @@ def targets(sample: DataFrame, cube: DataFrame, stats: DataFrame, band: str) ->
     return normalised(raw, stats).select("sample_id", "i", "j", F.col("z").alias("y"), F.col("value").isNotNull().alias("mask"))
 
 
-def tensors(values: DataFrame) -> DataFrame:
-    """sample_id, t, channel_idx and the plane's values in row-major order (one array a plane)."""
-    plane = F.transform(F.array_sort(F.collect_list(F.struct("i", "j", "z"))), lambda s: s["z"])
-    return values.groupBy("sample_id", "t", "channel_idx").agg(plane.alias("values"))
+def tensors(planes: DataFrame) -> DataFrame:
+    """sample_id, t, channel_idx and a plane's values in row-major order, of sample_planes()."""
+    return planes.select("sample_id", "t", "channel_idx", F.col("cells.z").alias("values"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,17 +38,38 @@ def of_split(sample: DataFrame, split: str) -> DataFrame:
     return found
 
 
-def picks(sample: DataFrame, shares: tuple[float, ...] = (0.0, 0.5, 1.0)) -> DataFrame:
-    """Of each split the samples at fixed shares of its length, by sample_id; 1.0 is the last.
+def _placed(sample: DataFrame) -> DataFrame:
+    """split, patch_id, and how many samples of the split come before the patch, and are in it and in the split.
+
+    Windows over patches, of which there are few, not over samples.
+    """
+    patch = sample.groupBy("split", "patch_id").agg(F.count("*").alias("_n"), F.min("sample_id").alias("_first"))
+    whole = Window.partitionBy("split")
+    before = F.sum("_n").over(whole.orderBy("_first").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
+    return patch.select(F.col("split").alias("_s"), F.col("patch_id").alias("_p"), before.alias("_before"), "_n", F.sum("_n").over(whole).alias("_all"), "_first")
+
+
+def at_positions(sample: DataFrame, wanted: Column) -> DataFrame:
+    """sample with ``position``: of each split the samples at the positions (from 0, by sample_id) of an array of longs.
 
-    Splits number their samples in a window of a row a sample id.
+    wanted: an expression over _all, the number of samples in a split. A patch's samples have
+    consecutive ids, so a position names a patch and a place in it.
     """
-    from pyspark.sql import Window
+    at = _placed(sample).withColumn("position", F.explode(F.array_distinct(wanted)))
+    at = at.filter((F.col("position") >= F.col("_before")) & (F.col("position") < F.col("_before") + F.col("_n")))
+    at = at.select("_s", (F.col("_first") + F.col("position") - F.col("_before")).alias("_id"), "position")
+    return sample.join(at, (sample["sample_id"] == at["_id"]) & (sample["split"] == at["_s"])).drop("_s", "_id")
 
-    rank = F.row_number().over(Window.partitionBy("split").orderBy("sample_id")) - 1
-    n = F.count("*").over(Window.partitionBy("split"))
-    wanted = F.array(*[F.least(F.floor(n * s), n - 1).cast("long") for s in shares])
-    return sample.withColumn("_n", rank.cast("long")).withColumn("_w", wanted).filter(F.array_contains("_w", F.col("_n"))).drop("_n", "_w")
+
+def picks(sample: DataFrame, shares: tuple[float, ...] = (0.0, 0.5, 1.0)) -> DataFrame:
+    """Of each split the samples at fixed shares of its length, by sample_id; 1.0 is the last."""
+    n = F.col("_all")
+    return at_positions(sample, F.array(*[F.least(F.floor(n * x), n - 1).cast("long") for x in shares])).drop("position")
+
+
+def length(sample: DataFrame, split: str) -> int:
+    """How many samples a split has."""
+    return of_split(sample, split).count()
 
 
 def next_value(cube: DataFrame, column: str, steps: int = 1) -> DataFrame:
@@ -62,7 +83,5 @@ def next_value(cube: DataFrame, column: str, steps: int = 1) -> DataFrame:
 
 def windows(cube: DataFrame, column: str, length: int) -> DataFrame:
     """row, col, month_idx and the values of the ``length`` months up to it, by month."""
-    from pyspark.sql import Window
-
     span = Window.partitionBy("row", "col").orderBy("month_idx").rangeBetween(-(length - 1), 0)
     return cube.select("row", "col", "month_idx", F.collect_list(column).over(span).alias("values"))

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rastercube.functions import scalar as fx
-from rastercube.operators import landcover, metrics, partition, sequence, stats, tiles
+from rastercube.operators import landcover, metrics, partition, sequence, stats, tiles, verify
 from rastercube.operators import samples as rebuild
 from rastercube.plans import surrogate as s
-from rastercube.sources import catalog
+from rastercube.sources import catalog, geotiff
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -120,29 +120,43 @@ def _(spark, d):
 
 
 def _metadata(spark, d):
-    """A grid record for each raster; one in twelve has another origin."""
-    found = catalog.discover(s.files(spark, d))
-    origin = F.when(F.col("month") == 12, 757951.0).otherwise(757950.00000000001)
-    return found.select("path", F.lit(1608).alias("width"), F.lit(1493).alias("height"), F.lit(18).alias("count"), F.lit("EPSG:32643").alias("crs"), F.array(origin, F.lit(30.0)).alias("transform"), F.lit("float32").alias("dtype"), F.array(F.lit("a"), F.lit("b")).alias("descriptions"))
+    """What the reader says of a small raster for each month; some years' end months are odd ones."""
+    import numpy as np
+    import pyarrow as pa
+
+    def made(batches):
+        for b in batches:
+            out = []
+            for m in b.column(1).to_pylist():
+                names = {10: None, 11: ["b", "a"]}.get(m, ["a", "b"])
+                out.append(geotiff.write(np.zeros((2, 3, 4), np.float32), (30.0, 0.0, 757951.0 if m == 12 else 757950.0, 0.0, -30.0, 1458780.0), names, 32643))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["path", "content"])
 
+    found = catalog.discover(s.files(spark, d)).select("path", "month")
+    return geotiff.metadata(found.mapInArrow(made, "path string, content binary"))
 
-@query("q05_grid_homogeneity", """SELECT 1608 AS width, 1493 AS height, CASE WHEN "month"=12 THEN 757951.0 ELSE 757950.0 END::DOUBLE AS origin, count(*) AS files FROM fl GROUP BY ALL""", "fl")
+
+@query("q05_grid_homogeneity", """SELECT 4 AS width, 3 AS height, 2 AS bands, 'EPSG:32643' AS crs, 'float32' AS dtype, CASE WHEN "month"=12 THEN 757951.0 ELSE 757950.0 END::DOUBLE AS origin,
+    CASE "month" WHEN 10 THEN ',' WHEN 11 THEN 'b,a' ELSE 'a,b' END AS names, count(*) AS files FROM fl GROUP BY ALL""", "fl")
 def _(spark, d):
-    return catalog.grid_groups(_metadata(spark, d)).select("width", "height", F.col("transform")[0].alias("origin"), "files")
+    names = F.array_join("descriptions", ",", "").alias("names")
+    return catalog.grid_groups(_metadata(spark, d)).select("width", "height", F.col("count").alias("bands"), "crs", "dtype", F.col("transform")[2].alias("origin"), names, "files")
 
 
-@query("q06_band_order", """SELECT CASE WHEN "month"=12 THEN false ELSE true END AS in_order, count(*) AS files FROM fl GROUP BY ALL""", "fl")
+@query("q06_band_order", """SELECT CASE "month" WHEN 10 THEN 'unnamed' WHEN 11 THEN 'differs' ELSE 'ok' END AS status, count(*) AS files FROM fl GROUP BY ALL""", "fl")
 def _(spark, d):
-    bands = F.when(F.col("month") == 12, F.array(F.lit("b"), F.lit("a"))).otherwise(F.array(F.lit("a"), F.lit("b")))
-    rows = catalog.discover(s.files(spark, d)).select((bands == F.array(F.lit("a"), F.lit("b"))).alias("in_order"))
-    return rows.groupBy("in_order").agg(F.count("*").alias("files"))
+    return catalog.band_order(_metadata(spark, d), ["a", "b"]).groupBy("status").agg(F.count("*").alias("files"))
 
 
-@query("q10_legend", "SELECT * FROM (VALUES (10,'Tree cover'),(50,'Built-up'),(80,'Permanent water bodies')) t(class,label)")
+@query("q10_legend", """SELECT * FROM (VALUES ('a',10,'Tree cover','V2.0.0','tag'),('a',50,'Built-up','V2.0.0','tag'),('a',80,'Permanent water bodies','V2.0.0','tag'),('b',50,'Built-up','unknown','fallback')) t(raster,class,label,version,source)""")
 def _(spark, d):
-    text = "10 Tree cover\n\n50   Built-up\nnone\n 80 Permanent water bodies "
-    lines = spark.createDataFrame([(x,) for x in text.split("\n")], "line string")
-    return catalog.parse_legend(lines, {50: "Built-up"})
+    import numpy as np
+
+    tags = {"legend": "10 Tree cover\n\n50   Built-up\nnone\n 80 Permanent water bodies ", "product_version": "V2.0.0"}
+    rows = [(k, bytearray(geotiff.write(np.zeros((1, 2, 2), np.uint8), tags=t))) for k, t in (("a", tags), ("b", {"legend": "none"}))]
+    tag = geotiff.tags(spark.createDataFrame(rows, "path string, content binary"))
+    both = [catalog.legend(tag.filter(F.col("path") == k), {50: "Built-up"}).withColumn("raster", F.lit(k)) for k in "ab"]
+    return both[0].unionByName(both[1])
 
 
 # ---- scans -----------------------------------------------------------------------------------
@@ -202,30 +216,31 @@ def _(spark, d):
     return rows.groupBy("line").agg(F.count("*").alias("n"), F.count("v").alias("finite"))
 
 
-_LONG = """SELECT month_idx, "row", col, 'qty' AS channel, CAST(qty AS DOUBLE) AS value FROM dn"""
+_LONG = " UNION ALL ".join(f"""SELECT month_idx, "row", col, '{c}' AS channel, CAST({'r.tax' if c == 'tax' else 'dn.' + c} AS DOUBLE) AS value FROM dn LEFT JOIN tr r USING("row",col)""" for c in s.BANDS)
 
 
-@query("q16_fill_missing", f"""SELECT month_idx, "row", col, coalesce(value,(SELECT fill FROM bs WHERE channel='qty')) AS filled FROM ({_LONG})""", "dn", "bs")
+@query("q16_fill_missing", f"""SELECT month_idx, "row", col, channel, coalesce(value,fill) AS filled FROM ({_LONG}) JOIN bs USING(channel)""", "dn", "tr", "bs")
 def _(spark, d):
-    return _qty(spark, d).select("month_idx", "row", "col", "filled")
+    return _normalised(spark, d).select("month_idx", "row", "col", "channel", "filled")
 
 
-@query("q17_zscore", f"""SELECT month_idx, "row", col, (coalesce(value,fill)-mean)/std AS z FROM ({_LONG}), (SELECT * FROM bs WHERE channel='qty') b""", "dn", "bs")
+@query("q17_zscore", f"""SELECT month_idx, "row", col, channel, (coalesce(value,fill)-mean)/std AS z FROM ({_LONG}) JOIN bs USING(channel)""", "dn", "tr", "bs")
 def _(spark, d):
-    return _qty(spark, d).select("month_idx", "row", "col", "z")
+    return _normalised(spark, d).select("month_idx", "row", "col", "channel", "z")
 
 
-@query("q18_validity_mask", f"""SELECT month_idx, "row", col, value IS NOT NULL AS mask FROM ({_LONG})""", "dn")
+@query("q18_validity_mask", f"""SELECT month_idx, "row", col, channel, value IS NOT NULL AS mask FROM ({_LONG})""", "dn", "tr")
 def _(spark, d):
-    return _qty(spark, d).select("month_idx", "row", "col", F.col("value").isNotNull().alias("mask"))
+    return _normalised(spark, d).select("month_idx", "row", "col", "channel", F.col("value").isNotNull().alias("mask"))
 
 
 def _dense(spark, d):
     return rebuild.dense(s.obs(spark, d), s.region(spark), s.months(spark))
 
 
-def _qty(spark, d):
-    long = rebuild.melt(_dense(spark, d), ["qty"])
+def _normalised(spark, d):
+    """Every value of every band, static ones from the terrain, filled and normalised."""
+    long = rebuild.melt(rebuild.static_override(_dense(spark, d), s.terrain_sums(spark, d), s.STATIC), s.BANDS)
     return rebuild.normalised(long, s.band_stats(spark, d))
 
 
@@ -252,6 +267,12 @@ def _(spark, d):
     return cut.select(F.col("q").alias("test_cut"), partition.quantile(rest, F.col("x"), 1 - s.VAL / (1 - s.TEST)).scalar().alias("val_cut"))
 
 
+@query("q30b_quantile_rotated", f"""SELECT round(quantile_cont(y*{_turn(30)[0]!r}::DOUBLE+x*{_turn(30)[1]!r}::DOUBLE, {_Q_TEST!r}), 9) AS q FROM px WHERE in_region""", "px")
+def _(spark, d):
+    _, along = fx.rotated(F.col("x"), F.col("y"), 30.0)
+    return partition.quantile(s.region(spark).filter("in_region"), along, 1 - s.TEST).select(F.round("q", 9).alias("q"))
+
+
 @query("q46_directional_split", 'SELECT "row", col, split_id FROM sp', "sp")
 def _(spark, d):
     return s.split(spark).select("row", "col", "split_id")
@@ -267,7 +288,7 @@ _EDGES = ",".join(f"({p},{a[0]},{a[1]},{b[0]},{b[1]})" for p, rings in enumerate
 
 @query("q21_point_in_polygon", f"""SELECT "row", col, EXISTS (SELECT 1 FROM (SELECT p, count(*) AS k FROM (VALUES {_EDGES}) e(p,x1,y1,x2,y2) WHERE least(y1,y2)<=y AND y<greatest(y1,y2) AND x1::DOUBLE+(y-y1::DOUBLE)*(x2::DOUBLE-x1::DOUBLE)/(y2::DOUBLE-y1::DOUBLE)>x GROUP BY p) WHERE k%2=1) AS inside FROM px""", "px")
 def _(spark, d):
-    return partition.rasterize(s.region(spark), partition.edges(spark, s.POLYGONS)).select("row", "col", "inside")
+    return partition.rasterize(s.region(spark), partition.edges(spark, s.POLYGONS), s.TRANSFORM, s.G).select("row", "col", "inside")
 
 
 # ---- tiles -----------------------------------------------------------------------------------
@@ -333,9 +354,9 @@ def _(spark, d):
     return s.patches(spark).select("patch_id", F.explode(F.sequence(F.lit(0), F.lit(s.MONTHS - 1))).alias("month_idx"))
 
 
-@query("q24_sample_month_join", 'SELECT sample_id, t.i AS t, "year", "month" FROM (SELECT sample_id, unnest(range(12)) AS i, unnest(input_months) AS label FROM sm WHERE split=\'val\') t JOIN (SELECT DISTINCT "year","month",printf(\'%04d-%02d\',"year","month") AS label FROM fl) USING(label)'.replace("t.i AS t", "CAST(t.i AS INT) AS t"), "sm", "fl")
+@query("q24_sample_month_join", 'SELECT sample_id, t.i AS t, "year", "month" FROM (SELECT sample_id, unnest(range(12)) AS i, unnest(input_months) AS label FROM sm) t JOIN (SELECT DISTINCT "year","month",printf(\'%04d-%02d\',"year","month") AS label FROM fl) USING(label)'.replace("t.i AS t", "CAST(t.i AS INT) AS t"), "sm", "fl")
 def _(spark, d):
-    names = sequence.of_split(s.samples(spark), "val").select("sample_id", F.posexplode("input_months").alias("t", "label"))
+    names = s.samples(spark).select("sample_id", F.posexplode("input_months").alias("t", "label"))
     month = catalog.with_index(catalog.discover(s.files(spark, d))).select("label", "year", "month")
     return names.join(F.broadcast(month), "label").select("sample_id", "t", "year", "month")
 
@@ -369,8 +390,8 @@ _X = """SELECT s.sample_id, CAST(k.i AS INT) AS t, c.ci AS channel_idx, c.channe
     LEFT JOIN obs o ON o."row"=p."row" AND o.col=p.col AND o.month_idx=s.seq_start_index+k.i LEFT JOIN tr r ON r."row"=p."row" AND r.col=p.col JOIN bs USING(channel)"""
 
 
-def _x(spark, d):
-    return rebuild.sample_values(s.samples(spark), _dense(spark, d), s.terrain_sums(spark, d), s.band_stats(spark, d), s.BANDS, s.STATIC)
+def _x(spark, d, of=rebuild.sample_values, sample=None):
+    return of(s.samples(spark) if sample is None else sample, _dense(spark, d), s.terrain_sums(spark, d), s.band_stats(spark, d), s.BANDS, s.STATIC)
 
 
 @query("q55_sample_values", _X, "sm", "px", "obs", "tr", "bs")
@@ -380,18 +401,59 @@ def _(spark, d):
 
 @query("q55b_sample_planes", f"""SELECT sample_id, t, channel_idx, list(z ORDER BY i,j) AS "values" FROM ({_X}) GROUP BY ALL""", "sm", "px", "obs", "tr", "bs")
 def _(spark, d):
-    return rebuild.tensors(_x(spark, d))
+    return rebuild.tensors(_x(spark, d, rebuild.sample_planes))
+
+
+_Y = """SELECT s.sample_id, s.split, s.patch_id, p."row"-s.row_off AS i, p.col-s.col_off AS j, (coalesce(CAST(o.price AS DOUBLE),fill)-mean)/std AS y, o.price IS NOT NULL AS mask, (CAST(o.price AS DOUBLE)-mean)/std AS expected FROM sm s
+    JOIN px p ON p."row" BETWEEN s.row_off AND s.row_off+2 AND p.col BETWEEN s.col_off AND s.col_off+2 LEFT JOIN obs o ON o."row"=p."row" AND o.col=p.col AND o.month_idx=s.target_month_index, (SELECT * FROM bs WHERE channel='price') b"""
+
+
+@query("q54_sample_targets", f"SELECT sample_id, i, j, y, mask FROM ({_Y})", "sm", "px", "obs", "bs")
+def _(spark, d):
+    return rebuild.targets(s.samples(spark), s.obs(spark, d), s.band_stats(spark, d), "price")
+
+
+#: An index with faults: a month too few, a gap, a wrong target, wrong names, a repeated id.
+_FAULTY = """SELECT CASE WHEN sample_id%17=0 THEN sample_id+1 ELSE sample_id END AS id, CASE WHEN sample_id%7=0 THEN input_month_indices[1:11] WHEN sample_id%11=0 THEN list_transform(input_month_indices, lambda v, i: CASE WHEN i>6 THEN v+1 ELSE v END) ELSE input_month_indices END AS m,
+    CASE WHEN sample_id%13=0 THEN target_month_index+1 ELSE target_month_index END AS t, CASE WHEN sample_id%19=0 THEN list_transform(input_months, lambda x: '1999-01') ELSE input_months END AS names, target_month FROM sm"""
+
 
+def _faulty(spark):
+    at = F.col("sample_id")
+    months, names = F.col("input_month_indices"), F.col("input_months")
+    moved = F.transform(months, lambda v, i: F.when(i >= 6, v + 1).otherwise(v))
+    return s.samples(spark).withColumns({
+        "input_month_indices": F.when(at % 7 == 0, F.slice(months, 1, 11)).when(at % 11 == 0, moved).otherwise(months),
+        "target_month_index": F.when(at % 13 == 0, F.col("target_month_index") + 1).otherwise(F.col("target_month_index")),
+        "input_months": F.when(at % 19 == 0, F.transform(names, lambda _: F.lit("1999-01"))).otherwise(names),
+        "sample_id": F.when(at % 17 == 0, at + 1).otherwise(at),
+    })
 
-@query("q54_sample_targets", """SELECT s.sample_id, p."row"-s.row_off AS i, p.col-s.col_off AS j, (coalesce(CAST(o.price AS DOUBLE),fill)-mean)/std AS y, o.price IS NOT NULL AS mask FROM (SELECT * FROM sm WHERE split='test') s
-    JOIN px p ON p."row" BETWEEN s.row_off AND s.row_off+2 AND p.col BETWEEN s.col_off AND s.col_off+2 LEFT JOIN obs o ON o."row"=p."row" AND o.col=p.col AND o.month_idx=s.target_month_index, (SELECT * FROM bs WHERE channel='price') b""", "sm", "px", "obs", "bs")
+
+@query("q54b_index_checks", f"""SELECT count(*) AS samples, count(*) FILTER (WHERE len(m)<>12) AS bad_length, count(*) FILTER (WHERE len(list_filter(range(1,len(m)), lambda k: m[k+1]-m[k]<>1))>0) AS gaps, count(*) FILTER (WHERE m[-1]+1<>t) AS bad_target,
+    count(*) FILTER (WHERE names[-1]<>strftime(CAST(target_month||'-01' AS DATE)-INTERVAL 1 MONTH,'%Y-%m')) AS bad_last_month, count(*) FILTER (WHERE names<>list_transform(m, lambda k: printf('%04d-%02d', 1995+k//12, k%12+1))) AS bad_labels, count(*)-count(DISTINCT id) AS repeated_ids FROM ({_FAULTY})""", "sm")
 def _(spark, d):
-    return rebuild.targets(sequence.of_split(s.samples(spark), "test"), s.obs(spark, d), s.band_stats(spark, d), "price")
+    return verify.index_report(_faulty(spark), s.LENGTH, s.labels())
 
 
-@query("q54b_index_checks", "SELECT count(*) AS samples, 0::BIGINT AS bad_length, 0::BIGINT AS gaps, 0::BIGINT AS bad_target, 0::BIGINT AS repeated_ids FROM sm", "sm")
+#: Samples with faults in what a build would hold: a plane too few, a NaN, a flipped mask, a shifted value.
+@query("q55c_verify_samples", f"""SELECT * FROM (WITH pick AS (SELECT sample_id, split, patch_id FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY sample_id)-1 AS k, count(*) OVER (PARTITION BY split) AS n FROM sm) WHERE k IN (0, n//4, n//2, 3*n//4, n-1)),
+    y AS (SELECT *, CASE WHEN sample_id%5=1 AND i=0 AND j=0 THEN NOT mask ELSE mask END AS m, CASE WHEN sample_id%3=0 AND i=2 AND j=1 THEN y+0.5 ELSE y END AS v FROM ({_Y}) JOIN (SELECT sample_id FROM pick) USING(sample_id)),
+    w AS (SELECT sample_id, count(*) FILTER (WHERE m<>mask) AS masks_wrong, count(*) FILTER (WHERE expected IS NOT NULL AND abs(v-expected)>1e-6) AS off, max(abs(v-expected)) AS diff, count(*) FILTER (WHERE m) AS ok, count(*) AS cells FROM y GROUP BY sample_id),
+    p AS (SELECT pick.*, masks_wrong, off, diff, ok, cells, sample_id%4=2 AS short, sample_id%2=0 AS has_nan FROM pick JOIN w USING(sample_id))
+    SELECT split, count(*) AS samples, count(*) FILTER (WHERE short) AS bad_shapes, CAST(4*count(*) FILTER (WHERE has_nan) AS BIGINT) AS nan, 0::BIGINT AS infinite, CAST(sum(masks_wrong) AS BIGINT) AS masks_wrong, CAST(sum(off) AS BIGINT) AS values_off, round(max(diff),6) AS max_diff,
+    round(sum(ok)/sum(cells),9) AS valid_share, 0::BIGINT AS months_out_of_order, count(*) FILTER (WHERE short OR masks_wrong>0 OR off>0) AS errors FROM p GROUP BY split)""", "sm", "px", "obs", "bs")
 def _(spark, d):
-    return metrics.sample_checks(s.samples(spark), s.LENGTH)
+    picked = sequence.picks(s.samples(spark), (0.0, 0.25, 0.5, 0.75, 1.0))
+    at = F.col("sample_id")
+    x = _x(spark, d, rebuild.sample_planes, picked).filter(~((at % 4 == 2) & (F.col("t") == 3)))
+    nan = F.transform("cells", lambda c: F.when((c["i"] == 1) & (c["j"] == 1), c.withField("z", F.lit(float("nan")))).otherwise(c))
+    x = x.withColumn("cells", F.when((at % 2 == 0) & (F.col("t") == 5), nan).otherwise(F.col("cells")))
+    y = rebuild.targets(picked, s.obs(spark, d), s.band_stats(spark, d), "price")
+    here = lambda i, j: (F.col("i") == i) & (F.col("j") == j)
+    y = y.withColumn("mask", F.when((at % 5 == 1) & here(0, 0), ~F.col("mask")).otherwise(F.col("mask"))).withColumn("y", F.when((at % 3 == 0) & here(2, 1), F.col("y") + 0.5).otherwise(F.col("y")))
+    found = verify.split_report(picked, x, y, s.obs(spark, d), s.band_stats(spark, d), "price", s.LENGTH, len(s.BANDS), s.labels())
+    return found.withColumn("max_diff", F.round("max_diff", 6)).withColumn("valid_share", F.round("valid_share", 9))
 
 
 @query("q56_materialized_compare", """SELECT count(*) FILTER (WHERE a.qty IS NOT NULL AND b.qty IS NOT NULL) AS compared, max(abs(a.qty-b.qty)) AS max_abs_diff, count(*) FILTER (WHERE (a.qty IS NULL)<>(b.qty IS NULL)) AS one_sided FROM obs a FULL JOIN (SELECT month_idx-1 AS month_idx, "row", col, qty FROM obs WHERE "row"<12) b USING(month_idx,"row",col)""", "obs")
@@ -407,15 +469,17 @@ def _(spark, d):
     return metrics.no_leak(covered, s.patches(spark), fx.SPLITS)
 
 
-@query("q41_channel_means", """SELECT channel, avg(v) AS mean_value FROM (SELECT 'qty' AS channel, qty AS v FROM obs WHERE "row" BETWEEN 4 AND 6 AND col BETWEEN 4 AND 6 UNION ALL SELECT 'disc', disc FROM obs WHERE "row" BETWEEN 4 AND 6 AND col BETWEEN 4 AND 6) GROUP BY channel""", "obs")
+@query("q41_channel_means", f"""SELECT sample_id, channel, round(avg(z),9) AS mean_value FROM ({_X}) GROUP BY ALL""", "sm", "px", "obs", "tr", "bs")
 def _(spark, d):
-    long = rebuild.melt(rebuild.window_scan(s.obs(spark, d), 4, 4, s.SIZE), ["qty", "disc"])
-    return long.groupBy("channel").agg(F.avg("value").alias("mean_value"))
+    planes = _x(spark, d, rebuild.sample_planes)
+    total = F.aggregate("cells.z", F.lit(0.0), lambda a, z: a + z)
+    means = planes.groupBy("sample_id", "channel").agg((F.sum(total) / F.sum(F.size("cells"))).alias("m"))
+    return means.select("sample_id", "channel", F.round("m", 9).alias("mean_value"))
 
 
-@query("q42_histogram", "SELECT CAST(least(floor((qty-0)/4.0::DOUBLE),99) AS INT) AS bin, count(*) AS n FROM obs WHERE qty BETWEEN 0 AND 400 GROUP BY ALL", "obs")
+@query("q42_histogram", f"""SELECT CAST(least(floor((z-lo)/((hi-lo)/100)),99) AS INT) AS bin, count(*) AS n FROM (SELECT z, min(z) OVER () AS lo, max(z) OVER () AS hi FROM (SELECT (coalesce(value,fill)-mean)/std AS z FROM ({_LONG}) JOIN bs USING(channel))) GROUP BY ALL""", "dn", "tr", "bs")
 def _(spark, d):
-    return metrics.histogram(s.obs(spark, d), "qty", 0.0, 400.0, 100)
+    return metrics.histogram(_normalised(spark, d), "z", 100)
 
 
 @query("q43_split_profile", """SELECT 'row' AS axis, col AS "at", split_id FROM sp WHERE "row"=8 UNION ALL SELECT 'col', "row", split_id FROM sp WHERE col=8""", "sp")
@@ -431,6 +495,16 @@ def _(spark, d):
     return s.land(spark, d)
 
 
+#: A source grid whose cells don't fit the model's: 0.35 x 0.37 of a pixel, moved by a bit.
+_SOURCE = (0.35, 0.0, -0.9, 0.0, -0.37, 15.95)
+
+
+@query("q37b_land_cover_align", f"""SELECT "row", col, class FROM (SELECT *, row_number() OVER (PARTITION BY "row",col ORDER BY n DESC, class) AS k FROM (SELECT CAST(floor(({_SOURCE[5]}::DOUBLE+("row"+0.5::DOUBLE)*({_SOURCE[4]}::DOUBLE)-15.5::DOUBLE)/-1.0::DOUBLE) AS INT) AS "row",
+    CAST(floor(({_SOURCE[2]}::DOUBLE+(col+0.5::DOUBLE)*{_SOURCE[0]}::DOUBLE-(-0.5::DOUBLE))/1.0::DOUBLE) AS INT) AS col, CAST(class AS INT) AS class, count(*) AS n FROM fc GROUP BY ALL) WHERE "row" BETWEEN 0 AND 15 AND col BETWEEN 0 AND 15) WHERE k=1""", "fc")
+def _(spark, d):
+    return landcover.align(s.fine_cover(spark, d), _SOURCE, s.TRANSFORM, s.G, s.G)
+
+
 @query("q47_urban_mask", "SELECT * FROM ur", "ur")
 def _(spark, d):
     return s.urban(spark, d)
@@ -446,7 +520,7 @@ def _(spark, d):
     return s.rural(spark, d)
 
 
-_REPORT = """SELECT *, urban*100.0::DOUBLE/study AS urban_pct, rural*100.0::DOUBLE/study AS rural_pct, overlap=0 AND urban>0 AND rural>0 AS "valid", coalesce(urban/rural::DOUBLE>50 OR urban/rural::DOUBLE<0.02::DOUBLE, true) AS unbalanced FROM (SELECT count(*) FILTER (WHERE is_urban) AS urban, count(*) FILTER (WHERE is_rural) AS rural, count(*) FILTER (WHERE in_study) AS study, count(*) FILTER (WHERE is_urban AND is_rural) AS overlap FROM mk)"""
+_REPORT = """SELECT *, urban*100.0::DOUBLE/study AS urban_pct, rural*100.0::DOUBLE/study AS rural_pct, overlap=0 AND urban>0 AND rural>0 AS "valid", coalesce(urban/rural::DOUBLE>50 OR urban/rural::DOUBLE<0.02::DOUBLE, true) AS unbalanced FROM (SELECT count(*) AS cells, count(*) FILTER (WHERE is_urban) AS urban, count(*) FILTER (WHERE is_rural) AS rural, count(*) FILTER (WHERE in_study) AS study, count(*) FILTER (WHERE is_urban AND is_rural) AS overlap FROM mk)"""
 
 
 @query("q38_mask_counts", f"SELECT urban, rural, study, urban_pct, rural_pct FROM ({_REPORT})", "mk")
@@ -459,6 +533,29 @@ def _(spark, d):
     return metrics_report(spark, d).select("overlap", "valid", "unbalanced")
 
 
+@query("q57b_mask_findings", """SELECT CASE WHEN k IN ('shape','overlap','urban values') THEN 'error' ELSE 'warning' END AS level, k AS finding, v AS detail FROM (
+    SELECT 'shape' AS k, count(*)||' cells, 0 beyond the 16 x 16 grid' AS v FROM mk WHERE "row"<>7 HAVING count(*)<>256
+    UNION ALL SELECT 'overlap', count(*)||' cells are urban and rural' FROM mk WHERE "row"<>7 AND col<>9 AND is_urban AND (is_rural OR "row"=3) HAVING count(*)>0
+    UNION ALL SELECT 'urban values', count(*)||' urban values are not 0 or 1' FROM mk WHERE "row"<>7 AND col=9 HAVING count(*)>0
+    UNION ALL SELECT 'unknown class', CAST(class AS VARCHAR) FROM (SELECT DISTINCT class FROM ld WHERE class NOT IN (10,50,60)))""", "mk", "ld")
+def _(spark, d):
+    """Masks with faults: a row is missing, urban cells of a row are rural too, a column has the value 2."""
+    mask = s.masks(spark, d).filter("row <> 7").withColumn("is_rural", F.col("is_rural") | ((F.col("row") == 3) & F.col("is_urban")))
+    mask = mask.withColumn("is_urban", F.when(F.col("col") == 9, 2).otherwise(F.col("is_urban").cast("int")))
+    found = landcover.mask_findings(mask, s.land(spark, d), [10, 50, 60], s.G, s.G)
+    return found.filter("finding not in ('urban empty', 'rural empty', 'unbalanced')")
+
+
+@query("q57c_ring_report", """SELECT count(*) AS ring, count(*) FILTER (WHERE class IS NULL OR class NOT IN (10,20,30,40,60)) AS dropped_by_class FROM rg LEFT JOIN ld USING("row",col)""", "rg", "ld")
+def _(spark, d):
+    return landcover.ring_report(s.land(spark, d), s.ring(spark, d))
+
+
+@query("q57d_mask_report_unclipped", f"""SELECT urban, rural, cells, urban*100.0::DOUBLE/cells AS urban_pct, rural*100.0::DOUBLE/cells AS rural_pct FROM ({_REPORT})""", "mk")
+def _(spark, d):
+    return landcover.mask_report(s.masks(spark, d), clipped=False).select("urban", "rural", "cells", "urban_pct", "rural_pct")
+
+
 def metrics_report(spark, d):
     return landcover.mask_report(s.masks(spark, d))
 
@@ -508,6 +605,8 @@ def _(spark, d):
     return metrics.interpolate(_dense(spark, d).select("month_idx", "row", "col", "qty"), "qty").select("month_idx", "row", "col", "filled")
 
 
-@query("q54c_missingness", "SELECT count(*) AS rows, count(*)-count(qty) AS missing, 0::BIGINT AS nan, 0::BIGINT AS infinite FROM dn".replace("AS rows", 'AS "rows"'), "dn")
+@query("q54c_missingness", """SELECT count(*) AS "rows", count(*) FILTER (WHERE qty IS NULL) AS missing, count(*) FILTER (WHERE qty%5=0) AS nan, count(*) FILTER (WHERE qty%5<>0 AND qty%7=0) AS infinite FROM dn""", "dn")
 def _(spark, d):
-    return metrics.missingness(_dense(spark, d), "qty")
+    q = F.col("qty")
+    raw = F.when(q % 5 == 0, F.lit(float("nan"))).when(q % 7 == 0, F.lit(float("-inf"))).otherwise(q.cast("double"))
+    return metrics.missingness(_dense(spark, d).withColumn("value", raw), "value")

@@ -1,6 +1,6 @@
 """The raster model over the test tables: a 16 x 16 grid, 83 months, four integer bands.
 
-Each function has its SQL twin in oracle.py. Cell-months without line items are missing.
+Its SQL is in queries.py. Cell-months without line items are missing.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rastercube.functions.scalar import pixel_centre
 from rastercube.operators import landcover, partition, sequence, stats, tiles
+from rastercube.sources import scratch, sinks
 
 G, MONTHS, FIRST_YEAR = 16, 83, 1995
 SIZE, STRIDE, PURITY, LENGTH = 3, 2, 0.90, 12
@@ -26,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """month_idx, row, col and four integer bands of the cell-months that have line items."""
     li = table(spark, sf_dir, "lineitem")
     when = (F.year("l_shipdate") - FIRST_YEAR) * 12 + F.month("l_shipdate") - 1
@@ -35,6 +36,23 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.agg(whole("l_extendedprice").alias("price"), whole("l_quantity").alias("qty"), whole("l_discount", 100).alias("disc"), whole("l_tax", 100).alias("tax"))
 
 
+_written: dict[tuple[str, str], str] = {}
+
+
+def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw() as a stored cube, by month and in tile order: scans of it prune months and skip row groups.
+
+    A cube is data at rest; the first query of a session over some tables writes it.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    rows = raw(spark, sf_dir)
+    if key not in _written:
+        path = scratch.folder(spark, "cube")
+        sinks.cube(rows, path, SIZE)
+        _written[key] = path
+    return spark.read.schema(rows.schema).parquet(_written[key]).select(*rows.columns)
+
+
 def labels() -> list[str]:
     return [f"{FIRST_YEAR + i // 12}-{i % 12 + 1:02d}" for i in range(MONTHS)]
 

@@ -98,6 +98,13 @@ def require_channels(descriptions: list[str | None], expected: list[str]) -> Non
         raise CatalogError(f"bands are {descriptions}, not {expected}")
 
 
+def band_order(metadata: DataFrame, expected: list[str]) -> DataFrame:
+    """Adds status: ok, unnamed (no band has a name) or differs."""
+    unnamed = F.forall("descriptions", lambda x: x.isNull())
+    same = F.col("descriptions").eqNullSafe(F.array(*[F.lit(x) for x in expected]))
+    return metadata.withColumn("status", F.when(unnamed, "unnamed").when(same, "ok").otherwise("differs"))
+
+
 def parse_legend(lines: DataFrame, fallback: dict[int, str], column: str = "line") -> DataFrame:
     """class, label of the lines "<digits> <label>"; the fallback if no line is one."""
     from rastercube.functions.scalar import legend_class, legend_label
@@ -106,3 +113,18 @@ def parse_legend(lines: DataFrame, fallback: dict[int, str], column: str = "line
     if found.isEmpty():
         return lines.sparkSession.createDataFrame(sorted(fallback.items()), "class int, label string")
     return found
+
+
+def legend(tags: DataFrame, fallback: dict[int, str]) -> DataFrame:
+    """class, label, version and source of a raster's legend tag, from its tags (name, value).
+
+    version is the tag algorithm_version, else product_version, else "unknown"; source is
+    "tag", or "fallback" if the legend is absent or has no line of a class.
+    """
+    value = lambda name: F.max(F.when((F.col("name") == name) & (F.col("value") != ""), F.col("value")))
+    one = tags.agg(value("legend").alias("legend"), F.coalesce(value("algorithm_version"), value("product_version"), F.lit("unknown")).alias("version")).first()
+    lines = tags.sparkSession.createDataFrame([(x,) for x in (one["legend"] or "").splitlines()] or [("",)], "line string")
+    from rastercube.functions.scalar import legend_class
+
+    parsed = not lines.filter(legend_class(F.col("line")).isNotNull()).isEmpty()
+    return parse_legend(lines, fallback).select("class", "label", F.lit(one["version"]).alias("version"), F.lit("tag" if parsed else "fallback").alias("source"))

@@ -7,6 +7,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from xml.sax.saxutils import escape, unescape
 
 import numpy as np
 import pyarrow as pa
@@ -78,10 +79,14 @@ class Tiff:
         code = codes.get(3072) or codes.get(2048)  # projected, else geographic
         names: list[str | None] = [None] * count
         for i, name in re.findall(r'<Item name="DESCRIPTION" sample="(\d+)"[^>]*>([^<]*)</Item>', self.text(_METADATA)):
-            names[int(i)] = name
+            names[int(i)] = unescape(name)
         nodata = self.text(_NODATA).strip("\0 ")
         return Grid(self.one(_WIDTH), self.one(_HEIGHT), count, f"EPSG:{code}" if code else None, tuple(round(x, 10) for x in transform), self.dtype().name, tuple(names), float(nodata) if nodata else None)
 
+    def items(self) -> dict[str, str]:
+        """The file's own tags: metadata items that belong to no band."""
+        return {unescape(k): unescape(v) for k, v in re.findall(r'<Item name="([^"]*)">([^<]*)</Item>', self.text(_METADATA))}
+
     def text(self, tag: int) -> str:
         v = self.tags.get(tag, b"")
         return v.decode("utf-8", "replace") if isinstance(v, bytes) else ""
@@ -157,18 +162,19 @@ def lzw(data: bytes | memoryview) -> bytes:
     return b"".join(out)
 
 
-def write(planes: np.ndarray, transform: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0), names: list[str] | None = None, epsg: int | None = None, nodata: float | None = None) -> bytes:
-    """A deflated TIFF of planes (band, row, col), one strip a plane, with band names and georeference."""
+def write(planes: np.ndarray, transform: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0), names: list[str] | None = None, epsg: int | None = None, nodata: float | None = None, tags: dict[str, str] | None = None) -> bytes:
+    """A deflated TIFF of planes (band, row, col), one strip a plane, with band names, tags and georeference."""
     n, h, w = planes.shape
     dt = planes.dtype.newbyteorder("<")
     strips = [zlib.compress(planes[b].astype(dt).tobytes()) for b in range(n)]
     fmt = {"u": 1, "i": 2, "f": 3}[planes.dtype.kind]
-    meta = "<GDALMetadata>" + "".join(f'<Item name="DESCRIPTION" sample="{i}" role="description">{x}</Item>' for i, x in enumerate(names or [])) + "</GDALMetadata>\0"
+    own = "".join(f'<Item name="{escape(k)}">{escape(str(v))}</Item>' for k, v in (tags or {}).items())
+    meta = "<GDALMetadata>" + own + "".join(f'<Item name="DESCRIPTION" sample="{i}" role="description">{escape(x)}</Item>' for i, x in enumerate(names or [])) + "</GDALMetadata>\0"
     entries = [(_WIDTH, "I", [w]), (_HEIGHT, "I", [h]), (_BITS, "H", [dt.itemsize * 8] * n), (_COMPRESSION, "H", [8]), (262, "H", [1]), (_STRIPS, "I", None), (_SAMPLES, "H", [n]), (_ROWS, "I", [h]), (_STRIP_BYTES, "I", [len(s) for s in strips]), (_PLANAR, "H", [2]), (_FORMAT, "H", [fmt] * n)]
     entries += [(_SCALE, "d", [transform[0], -transform[4], 0.0]), (_TIE, "d", [0.0, 0.0, 0.0, transform[2], transform[5], 0.0])]
     if epsg:
         entries.append((_GEO_KEYS, "H", [1, 1, 0, 2, 1024, 0, 1, 1, 3072, 0, 1, epsg]))
-    if names:
+    if names or tags:
         entries.append((_METADATA, "s", meta.encode()))
     if nodata is not None:
         entries.append((_NODATA, "s", f"{nodata}\0".encode()))
@@ -204,6 +210,28 @@ def metadata(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(run, kind)
 
 
+def tags(files: DataFrame) -> DataFrame:
+    """path, name and value of the tags of raster files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [(p.as_py(), k, v) for p, c in zip(b.column(0), b.column(1), strict=True) for k, v in Tiff(c.as_buffer()).items().items()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (zip(*out, strict=True) if out else ([], [], []))], ["path", "name", "value"])
+
+    return files.select("path", "content").mapInArrow(run, "path string, name string, value string")
+
+
+def reference_grid(files: DataFrame) -> Grid:
+    """The grid of the one raster that others are brought onto; none, or one without CRS, is an error."""
+    rows = metadata(files).limit(2).collect()
+    if len(rows) != 1:
+        raise RasterError("no reference grid" if not rows else "more than one reference grid")
+    g = rows[0]
+    if g["crs"] is None:
+        raise RasterError(f"{g['path']} has no CRS")
+    return Grid(g["width"], g["height"], g["count"], g["crs"], tuple(g["transform"]), g["dtype"], tuple(g["descriptions"]))
+
+
 def planes(files: DataFrame, bands: list[int] | None = None) -> DataFrame:
     """path, band, row, col, value (double; null where not finite or nodata) of every pixel, long.
 
@@ -245,7 +273,7 @@ def land_cover(rasters: DataFrame, nodata: int = 0) -> DataFrame:
     return cells.select("row", "col", F.col("value").cast("int").alias("class"))
 
 
-def save(cells: DataFrame, path: str, height: int, width: int, bands: list[str], kind: str = "float32", transform: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0), epsg: int | None = None, nodata: float | None = None, overwrite: bool = False) -> None:
+def save(cells: DataFrame, path: str, height: int, width: int, bands: list[str], kind: str = "float32", transform: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0, -1.0, 0.0), epsg: int | None = None, nodata: float | None = None, overwrite: bool = False, tags: dict[str, str] | None = None) -> None:
     """One GeoTIFF under path from cells (row, col, bands); absent cells are nodata (0 for masks, else NaN).
 
     A raster of the grid's size is put together by one task, as one file of its kind holds it;
@@ -261,7 +289,7 @@ def save(cells: DataFrame, path: str, height: int, width: int, bands: list[str],
             for k in range(len(bands)):
                 v = b.column(2 + k).to_numpy(zero_copy_only=False)
                 x[k][at] = np.where(np.isnan(v), empty, v)
-        yield pa.RecordBatch.from_arrays([pa.array([write(x, transform, bands, epsg, nodata)], pa.binary())], ["data"])
+        yield pa.RecordBatch.from_arrays([pa.array([write(x, transform, bands, epsg, nodata, tags)], pa.binary())], ["data"])
 
     rows = cells.select(F.col("row").cast("int"), F.col("col").cast("int"), *[F.col(b).cast("double").alias(b) for b in bands])
     one = rows.coalesce(1).mapInArrow(run, "data binary").select(F.col("data").cast("string").alias("value"))
