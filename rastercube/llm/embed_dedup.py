@@ -138,6 +138,7 @@ class SmallWorld:
         open_ = ids >= 0
         seen = np.zeros((b, present), bool)
         seen[np.arange(b), start] = True
+        stamp = np.empty(b * present, np.int32)
         active = np.arange(b)
         links = self.links[layer]
         while len(active):
@@ -152,12 +153,17 @@ class SmallWorld:
             ok = (hop >= 0) & (hop < present)
             who, hop = who[ok], hop[ok]
             fresh = ~seen[who, hop]
-            key = np.unique(who[fresh] * present + hop[fresh])
-            who, hop = key // present, key % present
+            who, hop = who[fresh], hop[fresh]
+            # of a node that several of a query's links lead to, one stays: the last to stamp its place
+            place = who * present + hop
+            stamp[place] = np.arange(len(place), dtype=np.int32)
+            once = stamp[place] == np.arange(len(place), dtype=np.int32)
+            who, hop = who[once], hop[once]
             seen[who, hop] = True
             if len(who):
                 s = np.einsum("ij,ij->i", q[who], self.x[hop])
-                rowsid, first, n = np.unique(who, return_index=True, return_counts=True)
+                first = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]]))  # queries stand in order
+                rowsid, n = who[first], np.diff(np.append(first, len(who)))
                 place = np.arange(len(who)) - np.repeat(first, n)
                 wide = int(n.max())
                 cid = np.full((len(rowsid), wide), -1, np.int64)
