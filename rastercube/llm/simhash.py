@@ -243,8 +243,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, seed: int
     """doc_id, fp and component_id of every row: the least doc_id reachable over linked fingerprints.
 
     Equal fingerprints are one node, so copies cost one row in the search however many they
-    are. Null and empty texts have the fingerprint 0 and are linked like any other; repeated
-    rows stay; a null doc_id is never the least unless its component has no other; an empty
+    are. Null and empty texts have the fingerprint 0 and are linked like any other; a very long
+    text is hashed whole, in slabs; a bit that exactly half of the shingles have is 0; repeated
+    rows stay; of equal doc_ids the component is one all the same; a null doc_id is never the least unless its component has no other; an empty
     table gives no rows. Other columns are ignored.
     """
     fps = cut(fingerprints(docs, width, seed), "fingerprints")
