@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastercube.llm.shared import LOWER, hold
+from rastercube.llm.shared import LOWER, bounded_batches, hold
 
 #: Bytes that belong to words after A-Z is lower-cased; every other byte is a gap.
 _TO_WORDS = bytes(c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in LOWER)
@@ -133,6 +133,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, bl
     Columns named n_words, spans, items or _text are replaced.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     bench = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).filter("item is not null and text is not null")
     total = bench.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     parts, held = max(1, -(-total // block_bytes)), max(1, held_bytes // block_bytes)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastercube.llm.shared import LOWER, Prefix, blocks, cut, mix, seeded, word_spans
+from rastercube.llm.shared import LOWER, Prefix, blocks, bounded_batches, cut, mix, seeded, word_spans
 
 _IS_WORD = np.array([97 <= c <= 122 or 48 <= c <= 57 or c >= 128 for c in LOWER])
 _BITS = 14
@@ -75,6 +75,7 @@ def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
                 n += np.bincount(who, minlength=b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(weight)], ["doc_id", "n_ngrams", "log_weight"])
 
+    bounded_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"doc_id {kind}, n_ngrams bigint, log_weight double")
 

@@ -96,7 +96,19 @@ def before(df: DataFrame, group: list[str], bucket: str, amount: Column, order:
     return rows.join(named, on).withColumn(out, F.col("_base") + F.col("_in")).drop("_amount", "_in", "_base", *[f"_k{i}" for i in range(len(keys))])
 
 
+#: Bytes of an Arrow batch that crosses to a worker, where the session leaves Spark's default.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts cross to the workers in batches of bounded bytes: ten thousand long ones at once would cost both sides much memory."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name).rstrip("bB") == str(64 << 20):
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def with_text_bytes(docs: DataFrame, *columns: str) -> DataFrame:
+    bounded_batches(docs.sparkSession)
     return docs.select(*columns, F.col("text").cast("binary").alias("text"))
 
 

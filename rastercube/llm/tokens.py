@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastercube.llm.shared import before, cut, hold, shared_path, tokenizer_path
+from rastercube.llm.shared import before, bounded_batches, cut, hold, shared_path, tokenizer_path
 
 _SAMPLE = 256
 _EF = struct.Struct("<QQIIII")
@@ -246,6 +246,7 @@ def write_segments(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.js
     hash of the text. An empty table makes no segment. Other
     columns are ignored. doc_id must be an integer type.
     """
+    bounded_batches(docs.sparkSession)
     file = tokenizer if "/" in tokenizer else tokenizer_path(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

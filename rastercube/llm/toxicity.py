@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rastercube.llm import langid
-from rastercube.llm.shared import LOWER, Prefix, blocks, held_out, hold, seeded, with_text_bytes, word_spans
+from rastercube.llm.shared import LOWER, Prefix, blocks, bounded_batches, held_out, hold, seeded, with_text_bytes, word_spans
 
 _IS_WORD = np.array([97 <= c <= 122 or 48 <= c <= 57 or c >= 128 for c in LOWER])
 _BUCKETS = 1 << 16
@@ -293,6 +293,7 @@ def score_documents(docs: DataFrame, model: Classifier) -> DataFrame:
     neither moved nor dropped. Columns named score or predicted are replaced.
     """
     keep = [c for c in docs.columns if c not in ("score", "predicted")]
+    bounded_batches(docs.sparkSession)
     rows = docs.select(*keep)
     held = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
     schema = rows.withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0)).schema
