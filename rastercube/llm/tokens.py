@@ -150,13 +150,16 @@ def segment(part: int, seq: int, doc_ids: list[int | None], ids: list[bytes], wi
 _PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 #: Characters of which every version of Unicode says the same: ASCII and accented Latin letters.
 _PLAIN = regex.compile("[\t\n\r -~À-ÖØ-öø-ſ]*")
-_CROWDED = regex.compile(r" \s")
 _APART = regex.compile(r"(?<=\S)(?= \S)", regex.V1)
-_CHUNKS, _WORDS = 300_000, 50_000
+_CHUNKS, _WORDS = 350_000, 100_000
 #: Marks that are a piece of their own behind a word, whatever follows the space after them.
 _MARKS = ".,;:!?"
 
 
+class _Crowded(Exception):
+    pass
+
+
 class Encoder:
     """The tokenizers library's ids of whole texts, packed; repeated pieces are looked up.
 
@@ -179,6 +182,7 @@ class Encoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.shown = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(plain))}
         self.marks = {m: self.token(m) for m in _MARKS} if self.fast else {}
+        self.line = self.token("\n") if self.fast else b""
 
     def pack(self, ids: list[int]) -> bytes:
         return array("H" if self.width == 2 else "I", ids).tobytes()
@@ -194,22 +198,25 @@ class Encoder:
     def piece(self, s: str) -> bytes:
         if not _PLAIN.fullmatch(s):
             return self.direct(s)
-        get, out = self.words.get, []
-        for w in _PATTERN.findall(s):
-            got = get(w)
-            if got is None:
-                got = self.token(w)
-                if len(self.words) < _WORDS:
-                    self.words[w] = got
-            out.append(got)
-        return b"".join(out)
+        got = self.words.get(s)
+        if got is None:
+            got = b"".join(map(self.token, _PATTERN.findall(s)))
+            if len(self.words) < _WORDS:
+                self.words[s] = got
+        return got
 
     def spaced(self, c: str) -> bytes:
-        """The ids of a space and c."""
-        if c.isalpha() and (c.isascii() or _PLAIN.fullmatch(c)):
+        """The ids of a space and c, which begins with a visible character."""
+        if not c or c[0].isspace():
+            raise _Crowded
+        plain = c.isascii() or _PLAIN.fullmatch(c)
+        if plain and c.isalpha():
             got = self.token(" " + c)
-        elif c[-1:] in self.marks and (stem := c[:-1]).isalpha() and (c.isascii() or _PLAIN.fullmatch(c)):
-            got = (self.chunks.get(stem) or self.token(" " + stem)) + self.marks[c[-1]]
+        elif plain and c[-1] in self.marks and (stem := c[:-1]).isalpha():
+            return (self.chunks.get(stem) or self.spaced(stem)) + self.marks[c[-1]]
+        elif plain and (at := c.find("\n")) > 0 and not c[at - 1].isspace() and not c[at + 1 : at + 2].isspace() and at + 1 < len(c):
+            # a line feed between visible characters is a piece of its own
+            return (self.chunks.get(c[:at]) or self.spaced(c[:at])) + self.line + self.piece(c[at + 1 :])
         else:
             got = self.piece(" " + c)
         if len(self.chunks) < _CHUNKS:
@@ -221,11 +228,12 @@ class Encoder:
             return b""
         if not self.fast or any(x in text for x in self.added):
             return self.direct(text)
-        if _CROWDED.search(text):
-            return b"".join(map(self.piece, _APART.split(text)))
         first, *rest = text.split(" ")
         get, miss = self.chunks.get, self.spaced
-        return b"".join([self.piece(first) if first else b"", *[get(c) or miss(c) for c in rest]])
+        try:
+            return b"".join([self.piece(first) if first else b"", *[get(c) or miss(c) for c in rest]])
+        except _Crowded:  # a space before white space stays with it
+            return b"".join(map(self.piece, _APART.split(text)))
 
 
 # ---- write and read --------------------------------------------------------------------------
