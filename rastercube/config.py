@@ -78,6 +78,14 @@ class Config:
         return Config(**parts).validate()
 
 
+def as_yaml(config: Config) -> str:
+    """The settings that are in effect, in the form that load() reads."""
+    import yaml
+
+    plain = {section: {f.name: (list(v) if isinstance(v := getattr(getattr(config, section), f.name), tuple) else v) for f in fields(getattr(config, section))} for section in ("paths", "data", "split")}
+    return yaml.safe_dump(plain, sort_keys=False)
+
+
 def load(path: str) -> Config:
     """A Config from a YAML file with the sections paths, data and split; unknown keys are errors."""
     import yaml

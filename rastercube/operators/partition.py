@@ -77,6 +77,11 @@ def require_pixels(pixel: DataFrame, least: int) -> None:
         raise SplitError(f"fewer than {least} pixels in {few}")
 
 
+def require_region(pixel: DataFrame) -> None:
+    if pixel.filter("in_region").isEmpty():
+        raise SplitError("the region has no pixels")
+
+
 def edges(spark: SparkSession, polygons: list[list[list[tuple[float, float]]]]) -> DataFrame:
     """poly, x1, y1, x2, y2 of the rings of some polygons (each a list of rings of points)."""
     rows = [(i, float(a[0]), float(a[1]), float(b[0]), float(b[1])) for i, rings in enumerate(polygons) for ring in rings for a, b in zip(ring, ring[1:] + ring[:1], strict=True)]

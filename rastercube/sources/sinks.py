@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +25,15 @@ def json_lines(df: DataFrame, path: str, order: list[str], overwrite: bool = Fal
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite" if overwrite else "errorifexists").json(path)
 
 
-def document(spark: SparkSession, path: str, columns: dict, overwrite: bool = False) -> None:
-    """A JSON document of one line from column expressions over nothing."""
-    row = spark.range(1).select(*[F.lit(v).alias(k) if not hasattr(v, "alias") else v.alias(k) for k, v in columns.items()])
-    row.coalesce(1).write.mode("overwrite" if overwrite else "errorifexists").json(path)
+def json_document(spark: SparkSession, path: str, content: dict | list, overwrite: bool = False) -> None:
+    """A JSON document, indented, as the one text file of a folder; values that JSON lacks become text."""
+    text = json.dumps(content, indent=2, default=str)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite" if overwrite else "errorifexists").text(path)
+
+
+def read_json(spark: SparkSession, path: str):
+    """The content of a json_document()."""
+    return json.loads("\n".join(r[0] for r in spark.read.option("wholetext", "true").text(path).collect()))  # one small file
 
 
 def sample_index(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:

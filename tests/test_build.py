@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from rastercube import config as cfg
 from rastercube.functions.projection import utm
-from rastercube.operators import landcover, partition
-from rastercube.plans import build, surrogate
+from rastercube.__main__ import main
+from rastercube.operators import landcover, partition, verify
+from rastercube.plans import build, masks, surrogate
 from rastercube.sources import catalog, geotiff, sinks
 
 
@@ -153,12 +154,30 @@ def test_build_and_samples(spark, tmp_path):
         assert t["mask"] == np.isfinite(v) and t["y"] == pytest.approx(((st["temp"]["fill"] if np.isnan(v) else v) - st["temp"]["mean"]) / st["temp"]["std"])
     index = sinks.sample_index(spark, f"{tmp_path}/out/sample_index.jsonl", "test")
     assert [r["sample_id"] for r in index.collect()] == [r["sample_id"] for r in made.sample.filter("split='test'").orderBy("sample_id").collect()]
-    meta = [f for f in os.listdir(tmp_path / "out/metadata.json") if f.startswith("part")]
-    assert json.loads((tmp_path / "out/metadata.json" / meta[0]).read_text())["samples_train"] == 45
+    meta = sinks.read_json(spark, f"{tmp_path}/out/metadata.json")
+    assert meta["samples"] == {"train": 45, "val": 9, "test": 9} and meta["sample_pct"]["train"] == pytest.approx(100 * 45 / 63) and len(meta["months_used"]) == 15
+    norm = sinks.read_json(spark, f"{tmp_path}/out/normalization_stats.json")
+    assert norm["channels"] == ["temp", "elev"] and norm["min_std_guard"] == 1e-8 and norm["means"][0] == st["temp"]["mean"]
+    assert sum(sinks.read_json(spark, f"{tmp_path}/out/split_config.json")["pixel_pct"].values()) == pytest.approx(100)
+    assert made.length("val") == 9 and [r["sample_id"] for r in made.at("val", [0, 8, 9]).orderBy("position").collect()] == sorted(r["sample_id"] for r in made.sample.filter("split='val'").collect())[0:9:8]
+    report = {r["split"]: r.asDict() for r in build.verify_dataset(made).collect()}
+    assert all(r["errors"] == r["nan"] == r["months_out_of_order"] == 0 and r["samples"] == 3 for r in report.values()) and len(report) == 3
+    assert len(verify.require(build.verify_dataset(made))) == 3
+    picked = made.sample.filter("split='test'").orderBy("sample_id").limit(1)
+    wrong = made.targets("test").withColumn("mask", ~F.col("mask"))
+    with pytest.raises(verify.VerifyError):
+        verify.require(build.verify_dataset(made, target=wrong))
+    assert verify.target_report(wrong, picked, cube, made.band_stats, "temp").first()["masks_wrong"] == 9
+    again = build.open_dataset(spark, conf, cube)
+    assert again.labels == made.labels and again.inputs("val", [one["sample_id"]]).count() == 12 * 2 * 9
     with pytest.raises(Exception, match="ALREADY_EXISTS|already exists"):
         build.build(conf, months, cube, surrogate.region(spark), 16, 16)
     short = build.build(conf.override(test_months=2, output_dir=f"{tmp_path}/short"), months, cube, surrogate.region(spark), 16, 16)
     assert short.sample.count() == 21
+    meta = sinks.read_json(spark, f"{tmp_path}/short/metadata.json")
+    assert meta["mode"] == "test" and meta["samples"]["train"] == 15 and meta["projected_samples"]["train"] == 45
+    effective = cfg.load(next(str(f) for f in (tmp_path / "short/effective_config.yaml").iterdir() if f.name.startswith("part")))
+    assert effective == conf.override(test_months=2, output_dir=f"{tmp_path}/short")
     with pytest.raises(partition.SplitError):
         build.build(conf.override(min_pixels_per_split=10**6, output_dir=f"{tmp_path}/few"), months, cube, surrogate.region(spark), 16, 16)
 
@@ -168,3 +187,110 @@ def test_cube_is_written_by_month_in_tile_order(spark, tmp_path):
     sinks.cube(df, f"{tmp_path}/cube", tile=4)
     assert sorted(os.listdir(tmp_path / "cube"))[-2:] == ["month_idx=0", "month_idx=1"] or "month_idx=0" in os.listdir(tmp_path / "cube")
     assert spark.read.parquet(f"{tmp_path}/cube").count() == 128
+
+
+#: A grid in a UTM zone, and a boundary in degrees around most of it.
+TRANSFORM = (30.0, 0.0, 771200.0, 0.0, -30.0, 1438420.0)
+BOUNDARY = [[77.5005, 12.9960], [77.5040, 12.9960], [77.5043, 12.9999], [77.5008, 12.9998], [77.5005, 12.9960]]
+
+
+def geojson(path, *rings):
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [r]}} for r in rings]}))
+    return str(path)
+
+
+def test_rasters_to_dataset_in_one_call(spark, tmp_path, capsys, monkeypatch):
+    r = np.random.default_rng(9)
+    (tmp_path / "in").mkdir()
+    for m in range(1, 7):
+        x = r.normal(size=(2, 16, 16)).astype(np.float32)
+        x[0, m, 3:5] = np.nan
+        (tmp_path / f"in/Z_2020_{m:02d}_18features.tif").write_bytes(geotiff.write(x, TRANSFORM, ["temp", "elev"], 32643))
+    conf = cfg.Config(
+        cfg.Paths(f"{tmp_path}/in", f"{tmp_path}/out", geojson(tmp_path / "b.geojson", BOUNDARY)),
+        cfg.DataConfig(sequence_length=3, patch_size=2, stride=2, channel_names=("temp", "elev"), target_channel="temp", static_channels=("elev",)),
+    )
+    made = build.from_rasters(spark, conf)
+    inside = made.pixel.filter("in_region").count()
+    assert 60 < inside < 256 and made.patch.count() > 0 and made.sample.count() == made.patch.count() * 3
+    assert all(x["errors"] == 0 for x in verify.require(build.verify_dataset(made)))
+    (tmp_path / "c.yaml").write_text(cfg.as_yaml(conf))
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    assert main(["verify", "--config", str(tmp_path / "c.yaml")]) == 0
+    assert {x["split"] for x in json.loads(capsys.readouterr().out)} == {"train", "val", "test"}
+    assert main(["build", "--config", str(tmp_path / "c.yaml"), "--mode", "test", "--test-months", "4", "--overwrite"]) == 0
+    assert sinks.read_json(spark, f"{tmp_path}/out/metadata.json")["months_used"] == ["2020-01", "2020-02", "2020-03", "2020-04"]
+    with pytest.raises(catalog.CatalogError):
+        build.from_rasters(spark, conf.override(channel_names=("elev", "temp"), output_dir=f"{tmp_path}/other"))
+
+
+def mask_inputs(tmp_path, legend=True):
+    r = np.random.default_rng(3)
+    land = r.choice([10, 30, 50, 80], size=(1, 48, 48), p=[0.4, 0.3, 0.1, 0.2]).astype(np.uint8)
+    land[0, 18:27, 18:27] = 50
+    land[0, :3, :3] = 0
+    tags = {"legend": "10 Tree cover\n30 Grassland\n50 Built-up\n80 Water & ice", "product_version": "V2.0.0"} if legend else None
+    (tmp_path / "land.tif").write_bytes(geotiff.write(land, (10.0, 0.0, 771200.0, 0.0, -10.0, 1438420.0), epsg=32643, nodata=0, tags=tags))
+    (tmp_path / "grid.tif").write_bytes(geotiff.write(np.zeros((1, 16, 16), np.float32), TRANSFORM, epsg=32643))
+    return land[0], {k: f"{tmp_path}/{k}.tif" for k in ("land", "grid")} | {"boundary": geojson(tmp_path / "b.geojson", BOUNDARY)}
+
+
+def test_masks_build(spark, tmp_path, capsys, monkeypatch):
+    import glob
+
+    land, paths = mask_inputs(tmp_path)
+    conf = masks.MaskConfig(paths["land"], paths["boundary"], paths["grid"], f"{tmp_path}/out", buffer_metres=75.0)
+    made = masks.build(spark, conf)
+    grid = np.zeros((16, 16), int)
+    for i in range(16):
+        for j in range(16):
+            c, n = np.unique(b := land[3 * i : 3 * i + 3, 3 * j : 3 * j + 3][land[3 * i : 3 * i + 3, 3 * j : 3 * j + 3] > 0], return_counts=True)
+            grid[i, j] = c[n == n.max()].min() if b.size else 0
+    study = np.zeros((16, 16), bool)
+    for x in made.masks.collect():
+        study[x["row"], x["col"]] = x["in_study"]
+    urban = (grid == 50) & study
+    near = np.zeros((16, 16), bool)
+    for i in range(16):
+        for j in range(16):
+            near[i, j] = any(0 < 900 * ((i - a) ** 2 + (j - b) ** 2) <= 75.0**2 for a, b in zip(*np.nonzero(urban), strict=True))
+    near &= ~urban
+    rural = near & np.isin(grid, landcover.RURAL) & study
+    m = made.metadata
+    assert (m["urban_pixel_count"], m["rural_pixel_count"], m["study_pixel_count"]) == (urban.sum(), rural.sum(), study.sum()) and 0 < rural.sum()
+    assert (m["rural_ring_pixel_count_before_class_filter"], m["rural_ring_pixels_dropped_by_class_filter"]) == (near.sum(), (near & ~np.isin(grid, landcover.RURAL)).sum())
+    assert m["urban_pct_of_study"] == pytest.approx(100 * urban.sum() / study.sum()) and m["worldcover_version"] == "V2.0.0" and m["worldcover_legend_source"] == "tag"
+    assert made.errors == [] and {w for w in made.warnings} == {f"class {c} is not in the legend" for c in (20, 40, 60)}
+    assert sinks.read_json(spark, f"{tmp_path}/out/mask_metadata.json") == json.loads(json.dumps(m, default=str))
+    for kind, want in (("urban", urban), ("rural", rural)):
+        t = geotiff.Tiff(open(glob.glob(f"{tmp_path}/out/{kind}_mask/part-*")[0], "rb").read())
+        assert np.array_equal(next(iter(t.blocks()))[3], want.astype(np.uint8)) and t.grid().nodata == 0 and t.items()["worldcover_version"] == "V2.0.0"
+    with pytest.raises(Exception, match="ALREADY_EXISTS|already exists"):
+        masks.build(spark, conf)
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    args = ["masks", "--land-cover", paths["land"], "--study-boundary", paths["boundary"], "--reference-grid", paths["grid"], "--output-dir", f"{tmp_path}/two", "--rural-buffer-km", "0.075", "--no-clip-to-boundary"]
+    assert main(args) == 0
+    found = json.loads(capsys.readouterr().out)
+    assert found["percentage_denominator_pixels"] == 256 and found["urban_pixel_count"] == (grid == 50).sum()
+    assert main([*args[:-5], "--output-dir", f"{tmp_path}/three", "--rural-buffer-km", "0.001"]) == 1
+
+
+def test_masks_build_refuses_what_it_cannot_place(spark, tmp_path):
+    _, paths = mask_inputs(tmp_path, legend=False)
+    conf = masks.MaskConfig(paths["land"], paths["boundary"], paths["grid"], f"{tmp_path}/out", buffer_metres=75.0)
+    made = masks.build(spark, conf)
+    assert made.metadata["worldcover_legend_source"] == "fallback" and "the land cover has no legend that can be read" in made.warnings
+    (tmp_path / "bare.tif").write_bytes(geotiff.write(np.zeros((1, 4, 4), np.float32), TRANSFORM))
+    with pytest.raises(geotiff.RasterError):
+        masks.build(spark, masks.MaskConfig(paths["land"], paths["boundary"], f"{tmp_path}/bare.tif", f"{tmp_path}/no"))
+    with pytest.raises(landcover.MaskError):
+        masks.build(spark, masks.MaskConfig(paths["land"], paths["boundary"], paths["grid"], f"{tmp_path}/none", urban_class=95))
+
+
+def test_tags_of_a_raster(spark):
+    tags = {"legend": "1 a < b\n2 c & d", "note": "x"}
+    data = geotiff.write(np.zeros((1, 2, 2), np.uint8), names=["a & b"], tags=tags)
+    t = geotiff.Tiff(data)
+    assert t.items() == tags and t.grid().descriptions == ("a & b",)
+    rows = spark.createDataFrame([("p", bytearray(data)), ("q", bytearray(geotiff.write(np.zeros((1, 2, 2), np.uint8))))], "path string, content binary")
+    assert {tuple(r) for r in geotiff.tags(rows).collect()} == {("p", k, v) for k, v in tags.items()}

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rastercube.functions import scalar as fx
-from rastercube.operators import landcover, metrics, partition, sequence, stats, tiles
+from rastercube.operators import landcover, metrics, partition, sequence, stats, tiles, verify
 from rastercube.operators import samples as rebuild
 from rastercube.plans.queries import ORACLE, QUERIES
 from rastercube.sources import catalog
@@ -41,20 +41,22 @@ def cells(df, *cols):
     return {tuple(r) for r in df.select(*(cols or ("row", "col"))).collect()}
 
 
-@pytest.mark.parametrize(("length", "size", "stride", "want"), [(16, 3, 2, [*range(0, 13, 2), 13]), (16, 4, 2, list(range(0, 13, 2))), (3, 4, 1, []), (5, 5, 2, [0])])
-def test_starts(length, size, stride, want):
-    assert fx.starts(length, size, stride) == want
+def tile_starts(length, size, stride):
+    """All starts at which a tile fits: multiples of the stride, and the very last."""
+    return [s for s in range(length - size + 1) if s % stride == 0 or s == length - size]
 
 
-def test_starts_of_the_published_grid():
-    assert (len(fx.starts(1493, 128, 64)), len(fx.starts(1608, 128, 64))) == (23, 25)
+def test_starts_of_the_published_grid(spark):
+    for length, n in ((1493, 23), (1608, 25)):
+        got = spark.range(length).select(F.explode(fx.covering_starts(F.col("id").cast("int"), length, 128, 64)).alias("s")).distinct()
+        assert got.count() == n == len(tile_starts(length, 128, 64))
 
 
 @pytest.mark.parametrize(("length", "size", "stride"), [(16, 3, 2), (16, 4, 2), (17, 5, 3), (9, 2, 4), (7, 7, 3), (3, 4, 1)])
 def test_covering_starts_are_the_tiles_that_cover(spark, length, size, stride):
     got = {r["i"]: sorted(r["s"]) for r in spark.range(length).select(F.col("id").cast("int").alias("i")).select("i", fx.covering_starts(F.col("i"), length, size, stride).alias("s")).collect()}
     for i in range(length):
-        assert got[i] == [s for s in fx.starts(length, size, stride) if s <= i < s + size]
+        assert got[i] == [s for s in tile_starts(length, size, stride) if s <= i < s + size]
 
 
 def split_by_numpy(h, w, region, test, val, degrees):
@@ -114,7 +116,7 @@ def test_weighted_statistics_equal_a_loop_over_patches(spark):
     patch = tiles.patches(tiles.assign(tiles.tile_counts(pix, 8, 8, 3, 2), 3, 0.9), 3)
     got = {x["channel"]: x for x in stats.train_stats(df, df.filter("1=0"), tiles.weights(pix, patch, 8, 8, 3, 2), ["a", "flat"], [], 4).collect()}
     vals, n_max = [], 0
-    for a, b in itertools.product(fx.starts(8, 3, 2), repeat=2):
+    for a, b in itertools.product(tile_starts(8, 3, 2), repeat=2):
         tile = ids[a : a + 3, b : b + 3] == 1
         if tile.sum() >= 9:
             n_max += 4 * tile.sum()
@@ -243,8 +245,10 @@ def inside(polygons, x, y):
 def test_rasterize_equals_even_odd(spark, polygons):
     rows = [(i, j, j + 0.5, i + 0.5) for i in range(10) for j in range(10)]
     px = spark.createDataFrame(rows, "row int, col int, x double, y double")
-    got = {(r["row"], r["col"]) for r in partition.rasterize(px, partition.edges(spark, polygons)).filter("inside").collect()}
-    assert got == {(i, j) for i, j, x, y in rows if inside(polygons, x, y)}
+    for step in (1.0, -1.0):  # rows upwards and, as rasters have them, downwards
+        flipped = [[[(x, y if step > 0 else 10 - y) for x, y in ring] for ring in rings] for rings in polygons]
+        got = cells(partition.rasterize(px, partition.edges(spark, flipped), (1.0, 0.0, 0.0, 0.0, step, 0.0 if step > 0 else 10.0), 10).filter("inside"))
+        assert got == {(i, j) for i, j, x, y in rows if inside(polygons, x, y)}
 
 
 def test_geojson_edges(spark, tmp_path):
@@ -257,6 +261,103 @@ def test_geojson_edges(spark, tmp_path):
     assert got.count() == 12 and cells(got.filter("poly=0"), "x1", "y1", "x2", "y2") == {(0.0, 0.0, 4.0, 0.0), (4.0, 0.0, 4.0, 4.0), (4.0, 4.0, 0.0, 4.0), (0.0, 4.0, 0.0, 0.0)}
 
 
+def test_geojson_in_degrees_is_projected_and_none_is_refused(spark, tmp_path):
+    import json
+
+    from rastercube.functions.projection import utm
+
+    ring = [[77.5, 12.9], [77.6, 12.9], [77.6, 13.0], [77.5, 12.9]]
+    doc = {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [ring]}}, {"type": "Feature", "geometry": {"type": "Point", "coordinates": [0, 0]}}]}
+    (tmp_path / "b.geojson").write_text(json.dumps(doc))
+    east, north = utm(F.lit(77.5), F.lit(12.9), 43)
+    want = spark.range(1).select(east.alias("x"), north.alias("y")).first()
+    got = partition.geojson_edges(spark, str(tmp_path / "b.geojson"), "EPSG:32643").collect()
+    assert len(got) == 3 and sum(r["x1"] == pytest.approx(want["x"], abs=1e-6) and r["y1"] == pytest.approx(want["y"], abs=1e-6) for r in got) == 1
+    with pytest.raises(partition.SplitError):
+        partition.geojson_edges(spark, str(tmp_path / "b.geojson"), "EPSG:3857")
+    doc["crs"] = {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::32643"}}
+    (tmp_path / "b.geojson").write_text(json.dumps(doc))
+    assert (77.5, 12.9) in cells(partition.geojson_edges(spark, str(tmp_path / "b.geojson"), "EPSG:32643"), "x1", "y1")
+    (tmp_path / "none.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": []}))
+    with pytest.raises(partition.SplitError):
+        partition.geojson_edges(spark, str(tmp_path / "none.geojson"))
+
+
+@pytest.mark.parametrize(("values", "p"), [("normal", 0.8), ("normal", 0.237), ("ties", 0.8), ("one", 0.5), ("normal", 0.0), ("normal", 1.0)])
+def test_quantile_equals_numpy(spark, values, p):
+    r = np.random.default_rng(4)
+    x = {"normal": r.normal(size=3000), "ties": r.integers(0, 4, 501).astype(float), "one": np.array([7.25])}[values]
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "v double")
+    for bins in (16, 4096):
+        assert partition.quantile(df, F.col("v"), p, bins).first()["q"] == pytest.approx(np.quantile(x, p), rel=1e-12)
+    assert partition.quantile(df.filter("1=0"), F.col("v"), p).first()["q"] is None
+
+
+def test_a_region_without_pixels_is_refused(spark):
+    df = spark.createDataFrame([(0, 0, 0.5, 0.5, False)], "row int, col int, x double, y double, in_region boolean")
+    with pytest.raises(partition.SplitError):
+        partition.require_region(df)
+    with pytest.raises(PySparkException, match="no pixels"):
+        partition.directional_split(df, 0.2, 0.15).collect()
+
+
+def test_picks_and_positions(spark):
+    patch = spark.createDataFrame([(p, "train" if p % 3 else "val", p, 0, 3, 3) for p in range(7)], "patch_id int, split string, row_off int, col_off int, height int, width int")
+    labels = [f"20{m // 12:02d}-{m % 12 + 1:02d}" for m in range(17)]
+    sample = sequence.samples(patch, labels, 12)
+    ids = {s: sorted(r["sample_id"] for r in sample.filter(F.col("split") == s).collect()) for s in ("train", "val")}
+    got = {s: sorted(r["sample_id"] for r in sequence.picks(sample, (0.0, 0.25, 0.5, 0.75, 1.0)).filter(F.col("split") == s).collect()) for s in ids}
+    assert got == {s: sorted({x[0], x[len(x) // 4], x[len(x) // 2], x[3 * len(x) // 4], x[-1]}) for s, x in ids.items()}
+    at = sequence.at_positions(sample.filter("split = 'val'"), F.array(F.lit(0).cast("long"), F.lit(6).cast("long"), F.lit(99).cast("long")))
+    assert sorted((r["position"], r["sample_id"]) for r in at.collect()) == [(0, ids["val"][0]), (6, ids["val"][6])] and sequence.length(sample, "val") == len(ids["val"])
+
+
+def test_land_cover_is_aligned_by_centres(spark):
+    from rastercube.functions.projection import utm
+
+    r = np.random.default_rng(7)
+    source, grid = (0.00009, 0.0, 77.5, 0.0, -0.00009, 13.0), (30.0, 0.0, 771200.0, 0.0, -30.0, 1438420.0)
+    fine = [(i, j, int(r.choice([0, 10, 30, 50]))) for i in range(40) for j in range(40)]
+    df = spark.createDataFrame(fine, "row int, col int, class int")
+    lon, lat = F.col("col") * source[0] + source[2] + source[0] / 2, F.col("row") * source[4] + source[5] + source[4] / 2
+    x, y = utm(lon, lat, 43)
+    at = {(p["row"], p["col"]): (p["x"], p["y"]) for p in df.select("row", "col", x.alias("x"), y.alias("y")).collect()}
+    votes = {}
+    for i, j, c in fine:
+        a, b = math.floor((at[i, j][1] - grid[5]) / -30), math.floor((at[i, j][0] - grid[2]) / 30)
+        if c and 0 <= a < 12 and 0 <= b < 12:
+            votes.setdefault((a, b), {}).setdefault(c, 0)
+            votes[a, b][c] += 1
+    want = {(a, b, min(v, key=lambda c: (-v[c], c))) for (a, b), v in votes.items()}
+    got = cells(landcover.align(df, source, grid, 12, 12, "EPSG:4326", "EPSG:32643"), "row", "col", "class")
+    assert got == want and len(want) > 50
+    assert cells(landcover.align(df, (1.0, 0.0, 0.0, 0.0, -1.0, 40.0), (2.0, 0.0, 0.0, 0.0, -2.0, 40.0), 20, 20), "row", "col", "class") == cells(landcover.majority(df, 2), "row", "col", "class")
+    with pytest.raises(landcover.MaskError):
+        landcover.align(df, source, grid, 12, 12, "EPSG:3857", "EPSG:32643")
+
+
+def test_mask_findings_name_every_fault(spark):
+    grid = [(i, j, i == 0, i == 1, True) for i in range(3) for j in range(3)]
+    ok = spark.createDataFrame(grid, "row int, col int, is_urban boolean, is_rural boolean, in_study boolean")
+    land = spark.createDataFrame([(0, 0, 50), (1, 0, 77)], "row int, col int, class int")
+    found = lambda m, known=(50, 77): {(r["level"], r["finding"]) for r in landcover.mask_findings(m, land, list(known), 3, 3).collect()}
+    assert found(ok) == set() and found(ok, (50,)) == {("warning", "unknown class")}
+    assert found(ok.withColumn("is_rural", F.lit(True))) == {("error", "overlap")}
+    assert found(ok.withColumn("is_urban", F.lit(False))) == {("error", "urban empty")}
+    assert found(ok.filter("row < 2")) == {("error", "shape")} == found(ok.withColumn("row", F.when(F.col("row") == 2, 9).otherwise(F.col("row"))))
+    assert found(ok.withColumn("is_rural", F.when(F.col("row") == 1, 1).otherwise(7))) == {("error", "rural values")}
+    assert landcover.legend_findings({50: "Built-up", **{c: "x" for c in landcover.RURAL}}, (30.0, -30.0)) == []
+    assert len(landcover.legend_findings({50: "Water"}, (10.0, -10.0))) == 2 + len(landcover.RURAL)
+
+
+def test_queries_prune_the_stored_cube(spark):
+    """Months and rows of a window reach the scan of the cube that the queries share."""
+    for name, month in (("q08_window_scan_bands", "7"), ("q09_window_scan_target", "19")):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "(month_idx" in plan and f"= {month})" in plan and "PushedFilters: [IsNotNull(row)" in plan and "lineitem" not in plan
+        assert "tax" not in plan.split("ReadSchema")[1]
+
+
 def test_sample_windows(spark):
     patch = spark.createDataFrame([(0, "train", 0, 0, 3, 3), (1, "val", 0, 3, 3, 3)], "patch_id int, split string, row_off int, col_off int, height int, width int")
     labels = [f"2020-{m:02d}" for m in range(1, 13)] + ["2021-01"]
@@ -268,7 +369,9 @@ def test_sample_windows(spark):
         sequence.of_split(sequence.samples(patch, labels, 12), "other")
     with pytest.raises(sequence.SequenceError):
         sequence.of_split(sequence.samples(patch, labels, 12), "test")
-    assert metrics.sample_checks(sequence.samples(patch, labels, 12), 12).first().asDict() == {"samples": 2, "bad_length": 0, "gaps": 0, "bad_target": 0, "repeated_ids": 0}
+    report = verify.index_report(sequence.samples(patch, labels, 12), 12, labels).first().asDict()
+    assert report == {"samples": 2, "bad_length": 0, "gaps": 0, "bad_target": 0, "bad_last_month": 0, "bad_labels": 0, "repeated_ids": 0}
+    assert verify.index_report(sequence.samples(patch, labels, 12), 12, [*labels[1:], "x"]).first()["bad_labels"] == 2
 
 
 def test_interpolation_leaves_long_gaps_and_ends(spark):
