@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rastercube.llm.components import connected
-from rastercube.llm.shared import Prefix, cut, hold, small, with_text_bytes
+from rastercube.llm.shared import Prefix, cut, hold, mix, small, with_text_bytes
 from rastercube.llm.simhash import fingerprint, links, words_of
 
 #: Words that are hashed at once, and the narrowest and widest bitmaps in bits.
-_SLAB, _NARROW, _WIDE = 1 << 15, 64, 1 << 15
+_SLAB, _NARROW, _WIDE = 1 << 15, 64, 1 << 17
 _SLACK = 1e-9
 
 
@@ -59,12 +59,12 @@ def prefix(ids: np.ndarray, common: np.ndarray, count: np.ndarray, similarity: f
 
 
 def bitmap(ids: np.ndarray) -> np.ndarray:
-    """The parity of the shingles that fall on each bit; as many bits as shingles, to a power of two.
+    """The parity of the shingles that fall on each bit; four to eight bits a shingle.
 
     Two bitmaps differ in no more bits than their sets in shingles, also when the wider one
     is folded onto the other's width.
     """
-    width = min(_WIDE, max(_NARROW, 1 << (len(ids) - 1).bit_length() if len(ids) else 0))
+    width = min(_WIDE, max(_NARROW, 4 << (len(ids) - 1).bit_length() if len(ids) else 0))
     odd = np.bincount((ids % np.uint64(width)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -79,8 +79,8 @@ def possible(n: np.ndarray, m: np.ndarray, apart: np.ndarray, similarity: float)
     return (np.minimum(n, m) >= similarity * np.maximum(n, m) - _SLACK) & (apart <= (1 - similarity) / (1 + similarity) * (n + m) + 1e-6)
 
 
-def matches(own: tuple, others: tuple, similarity: float, block: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row numbers of the pairs of (n, bitmaps) lists that sizes and bitmaps allow; none is lost."""
+def matches(own: tuple, others: tuple, similarity: float, block: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row numbers of the pairs of (n, bitmaps) lists that sizes and bitmaps allow, and in how many bits they differ; none is lost."""
     wide = [np.array([len(b) for b in bits], np.int64) for _, bits in (own, others)]
     for w in np.unique(np.concatenate(wide)).tolist():
         # pairs of which the narrower bitmap has w words; sizes beyond the similarity need no look
@@ -96,7 +96,7 @@ def matches(own: tuple, others: tuple, similarity: float, block: int = 1 << 22)
             ok = possible(n[at : at + step, None], m[None], apart, similarity)
             ok &= (wide[0][pick[0][at : at + step]] == w)[:, None] | (wide[1][pick[1]] == w)[None]
             x, y = np.nonzero(ok)
-            yield pick[0][at + x], pick[1][y]
+            yield pick[0][at + x], pick[1][y], apart[x, y]
 
 
 def row_key(docs: DataFrame):
@@ -278,55 +278,76 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: f
     return dealt.mapInArrow(compare, "u bigint, v bigint").distinct()
 
 
-def across(live: DataFrame, roots: DataFrame, nodes: DataFrame, similarity: float, deal: int = 4096) -> DataFrame:
-    """Pairs (u, v) of nodes of one shingle in different components that sizes and bitmaps allow.
+def mixed(live: DataFrame, roots: DataFrame, deal: int) -> DataFrame:
+    """k, node, root, main, parts of the groups that hold several components; of groups of the same nodes, one.
 
-    Of a shingle's nodes those of its largest component, the main ones, meet only the others,
-    so a linked group costs nothing. Above ``deal`` nodes a group is dealt into several
-    parts, in each of which some nodes meet all others that are not main. Groups of the same
-    nodes are looked at once.
+    main says that a node belongs to the largest component of its group. A group that isn't
+    here will never be, since components only grow.
     """
-    of = live.join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("k", "node", F.coalesce("root", "node").alias("root")).distinct()
+    of = live.select("k", "node").join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("k", "node", F.coalesce("root", "node").alias("root")).distinct()
     of = cut(of, "members")
     held = of.groupBy("k", "root").agg(F.count("*").alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("i"))
     held = held.groupBy("k").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("members"), F.count("*").alias("roots"), F.sum("h").alias("h"), F.sum("i").alias("i")).filter("roots > 1")
     once = held.groupBy("h", "i", "members").agg(F.min(F.struct("k", "main")).alias("_")).select(F.col("_.k").alias("_k"), F.col("_.main").alias("main"), F.ceil(F.col("members") / deal).cast("int").alias("parts"))
     rows = of.join(once, F.col("k") == F.col("_k")).select("k", "node", "root", (F.col("root") == F.col("main")).alias("main"), "parts")
+    return cut(rows, "mixed")
+
+
+def across(rows: DataFrame, nodes: DataFrame, similarity: float, pick: int | None = None) -> DataFrame:
+    """Pairs (u, v), u > v, of nodes of one group in different components that sizes and bitmaps allow.
+
+    rows: mixed(). With ``pick``, one pair for each node that is not main: the closest by
+    bitmaps for 0, else one by a hash of the pair and pick; without, all pairs. The main nodes
+    meet only the others, so a linked group costs nothing. A group of several parts is dealt
+    out: in each part some nodes meet all others that are not main.
+    """
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     rows = rows.withColumn("own", own).withColumn("part", F.explode(F.when(F.col("main"), F.array("own")).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))))
     rows = rows.join(nodes.select(F.col("node").alias("_n"), "n", "bits"), F.col("node") == F.col("_n")).select("k", "part", "node", "root", "main", (F.col("own") == F.col("part")).alias("own"), "n", "bits")
 
-    def meet(held: list[tuple]) -> pa.RecordBatch | None:
+    def meet(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         node, root, main, own, n, bits = zip(*held, strict=True)
         node, root, main, own, n = np.array(node), np.array(root), np.array(main), np.array(own), np.array(n)
         x, y = np.flatnonzero(own), np.flatnonzero(~main)
-        pairs = [np.zeros((2, 0), np.int64)]
-        for a, b in matches((n[x], [bits[i] for i in x]), (n[y], [bits[i] for i in y]), similarity):
+        best = np.zeros((3, 0), np.int64)  # node's number, rank of its pair, the other's number
+        for a, b, apart in matches((n[x], [bits[i] for i in x]), (n[y], [bits[i] for i in y]), similarity):
             a, b = x[a], y[b]
             ok = (root[a] != root[b]) & (main[a] | (node[a] < node[b]))
-            pairs.append(np.stack([np.maximum(node[a[ok]], node[b[ok]]), np.minimum(node[a[ok]], node[b[ok]])]))
-        u, v = np.concatenate(pairs, axis=1)
-        return _batch({"u": pa.array(u), "v": pa.array(v)}) if len(u) else None
+            a, b, apart = a[ok], b[ok], apart[ok]
+            if pick is None:
+                if len(a):
+                    yield pairs(node[a], node[b])
+                continue
+            rank = apart if pick == 0 else (mix((node[a] ^ node[b]).view(np.uint64) * np.uint64(2 * pick + 1)) >> np.uint64(2)).astype(np.int64)
+            best = np.concatenate([best, [b, rank, a], [a[~main[a]], rank[~main[a]], b[~main[a]]]], axis=1)
+            best = best[:, np.lexsort(best[1::-1])]
+            best = best[:, np.concatenate([[True], best[0, 1:] != best[0, :-1]])] if best.shape[1] else best
+        if best.shape[1]:
+            yield pairs(node[best[0]], node[best[2]])
+
+    def pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return _batch({"u": pa.array(np.maximum(a, b)), "v": pa.array(np.minimum(a, b))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("copies", dict)
         key, held = None, []
         for b in batches:
             k = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
             rest = zip(*(b.column(i).to_pylist() for i in range(2, 7)), (np.frombuffer(x.as_py(), np.uint64) for x in b.column(7)), strict=True)
             for x, row in zip(k, rest, strict=True):
                 if x != key:
-                    if len(held) > 1 and (found := meet(held)):
-                        yield found
+                    if len(held) > 1:
+                        yield from meet(held)
                     key, held = x, []
                 held.append(row)
-        if len(held) > 1 and (found := meet(held)):
-            yield found
+        if len(held) > 1:
+            yield from meet(held)
 
     dealt = rows.repartition("k", "part").sortWithinPartitions("k", "part", "node")
     return dealt.mapInArrow(run, "u bigint, v bigint").distinct()
 
 
-def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3) -> DataFrame:
+def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3, deal: int = 1024) -> DataFrame:
     """key, doc_id and component of every row, over links of two kinds.
 
     key is row_key(): equal rows have one, others have their own. component is the same number
@@ -334,10 +355,12 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3) -> Da
 
     Fingerprints (three-word shingles) within radius bits, as simhash.near_duplicates() has
     them, and sets of five-word shingles with a Jaccard similarity of at least ``similarity``.
-    First every node is held against the node that most of its prefix's groups begin with;
-    then, where a shingle's nodes are not yet one component, those of different components
-    against one another, by bitmaps and what these leave by the texts' sets. So a group that
-    is linked costs a comparison a node. No link is lost, whatever the size of a group.
+    First every node is held against the node that most of its prefix's groups begin with.
+    Then, where a shingle's nodes are not yet one component, nodes of different components
+    are held against one another: bitmaps first, and what these leave by the texts' sets. Three
+    rounds take one pair a node, which joins most of what belongs together; the last takes all
+    pairs that are left, so no link is lost, whatever the size of a group. ``deal`` nodes of a
+    group meet the others in one task.
 
     Null and empty texts have no shingles and the fingerprint 0, and are linked like any other;
     a text of fewer than five words has one shingle; a long text is hashed in slabs. Rows that
@@ -363,15 +386,20 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3) -> Da
     least = live.groupBy("k").agg(F.min("first").alias("_m"), F.max("first").alias("_x")).filter("_m < _x").select(F.col("k").alias("_k"), "_m")
     firsts = live.select("k", "first").distinct().join(small(least), F.col("k") == F.col("_k")).select(F.col("first").alias("node"), F.col("_m").alias("first"))
     most = live.groupBy("node", "first").agg(F.count("*").alias("c")).unionByName(firsts.groupBy("node", "first").agg(F.count("*").alias("c"))).filter("node <> first")
-    star = most.groupBy("node").agg(F.max_by("first", F.struct("c", "first")).alias("v")).select(F.col("node").alias("u"), "v")
+    star = most.groupBy("node").agg(F.max_by("first", F.struct("c", "first")).alias("v")).select(F.greatest("node", "v").alias("u"), F.least("node", "v").alias("v")).distinct()
     known = cut(same.unionByName(near).filter("u <> v"), "fingerprint-links")
-    star = cut(plausible(star, nodes, similarity), "star-pairs")
-    found = cut(known.unionByName(confirmed(docs, nodes, star, similarity)), "set-links")
-
-    roots = connected(found)
-    cross = cut(across(live, roots, nodes, similarity), "cross-pairs")
-    more = cross.join(star, ["u", "v"], "left_anti").join(star.select(F.col("u").alias("v"), F.col("v").alias("u")), ["u", "v"], "left_anti").select("u", "v")
-    roots = connected(found.unionByName(confirmed(docs, nodes, more, similarity)))
+    tested = cut(plausible(star, nodes, similarity), "star-pairs")
+    roots = connected(known.unionByName(confirmed(docs, nodes, tested, similarity)))
+
+    for pick in (0, 1, 2, None):
+        live = mixed(live, roots, deal)
+        if live.isEmpty():
+            break
+        fresh = across(live, nodes, similarity, pick).join(tested, ["u", "v"], "left_anti")
+        fresh = cut(fresh, "cross-pairs")
+        found = confirmed(docs, nodes, fresh, similarity)
+        roots = cut(connected(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(found)), "roots")
+        tested = tested.unionByName(fresh)
     of = roots.select(F.col("node").alias("_node"), "root")
     return rows.join(of, rows["node"] == of["_node"], "left").select("key", "doc_id", F.coalesce("root", rows["node"]).alias("component"))
 
