@@ -16,7 +16,8 @@ def folder(spark: SparkSession, name: str) -> str:
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="rastercube-")
     return f"{found.rstrip('/')}/rastercube/{name}-{uuid.uuid4().hex}"
