@@ -142,13 +142,14 @@ def common_shingles(docs: DataFrame, share: int = 64, floor: int = 5000, least:
 
 
 def set_rows(docs: DataFrame, similarity: float, common, width: int = 3) -> DataFrame:
-    """key (row_key()), doc_id, node, fp and, where a task meets a node first, n, bits and head of its set.
+    """key (row_key()), doc_id, node, fp and, where a task meets a node first, n, bits, narrow and head of its set.
 
     A node is a fingerprint with a shingle set, numbered by the task that met it: copies
     that one task reads are one node, so a large group of them is dealt out once a task. n is
-    the number of shingles, bits the bitmap, ``head`` the prefix.
+    the number of shingles, bits the bitmap, narrow the same on a quarter of its bits, ``head`` the
+    prefix.
     """
-    schema = f"key binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, node bigint, fp bigint, n bigint, bits binary, head array<bigint>"
+    schema = f"key binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, node bigint, fp bigint, n bigint, bits binary, narrow binary, head array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -157,7 +158,7 @@ def set_rows(docs: DataFrame, similarity: float, common, width: int = 3) -> Data
         first, seen = TaskContext.get().partitionId() << 33, {}
         table, count = common.value
         for b in batches:
-            fps, nodes, n, bits, head = [], [], [], [], []
+            fps, nodes, n, bits, narrow, head = [], [], [], [], [], []
             for t in (x.as_py() for x in b.column(2)):
                 ids = shingle_set(t)
                 fps.append(fingerprint(t, width))
@@ -165,9 +166,11 @@ def set_rows(docs: DataFrame, similarity: float, common, width: int = 3) -> Data
                 fresh = name not in seen
                 nodes.append(seen.setdefault(name, first + len(seen)))
                 n.append(len(ids) if fresh else None)
-                bits.append(bitmap(ids).tobytes() if fresh else None)
+                wide = bitmap(ids) if fresh else None
+                bits.append(wide.tobytes() if fresh else None)
+                narrow.append(fold(wide[None], max(1, len(wide) // 4)).tobytes() if fresh else None)
                 head.append(prefix(ids, table, count, similarity).view(np.int64) if fresh else None)
-            yield _batch({"key": b.column(0), "doc_id": b.column(1), "node": pa.array(nodes, pa.int64()), "fp": _longs(np.array(fps, np.uint64)), "n": pa.array(n, pa.int64()), "bits": pa.array(bits, pa.binary()), "head": pa.array(head, pa.list_(pa.int64()))})
+            yield _batch({"key": b.column(0), "doc_id": b.column(1), "node": pa.array(nodes, pa.int64()), "fp": _longs(np.array(fps, np.uint64)), "n": pa.array(n, pa.int64()), "bits": pa.array(bits, pa.binary()), "narrow": pa.array(narrow, pa.binary()), "head": pa.array(head, pa.list_(pa.int64()))})
 
     return with_text_bytes(docs.withColumn("key", row_key(docs)), "key", "doc_id").mapInArrow(run, schema)
 
@@ -294,7 +297,7 @@ def mixed(live: DataFrame, roots: DataFrame, deal: int) -> DataFrame:
 
 
 def across(rows: DataFrame, nodes: DataFrame, similarity: float, pick: int | None = None) -> DataFrame:
-    """Pairs (u, v), u > v, of nodes of one group in different components that sizes and bitmaps allow.
+    """Pairs (u, v), u > v, of nodes of one group in different components that sizes and narrow bitmaps allow.
 
     rows: mixed(). With ``pick``, one pair for each node that is not main: the closest by
     bitmaps for 0, else one by a hash of the pair and pick; without, all pairs. The main nodes
@@ -303,7 +306,7 @@ def across(rows: DataFrame, nodes: DataFrame, similarity: float, pick: int | Non
     """
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     rows = rows.withColumn("own", own).withColumn("part", F.explode(F.when(F.col("main"), F.array("own")).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))))
-    rows = rows.join(nodes.select(F.col("node").alias("_n"), "n", "bits"), F.col("node") == F.col("_n")).select("k", "part", "node", "root", "main", (F.col("own") == F.col("part")).alias("own"), "n", "bits")
+    rows = rows.join(nodes.select(F.col("node").alias("_n"), "n", "narrow"), F.col("node") == F.col("_n")).select("k", "part", "node", "root", "main", (F.col("own") == F.col("part")).alias("own"), "n", "narrow")
 
     def meet(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         node, root, main, own, n, bits = zip(*held, strict=True)
@@ -347,7 +350,7 @@ def across(rows: DataFrame, nodes: DataFrame, similarity: float, pick: int | Non
     return dealt.mapInArrow(run, "u bigint, v bigint").distinct()
 
 
-def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3, deal: int = 1024) -> DataFrame:
+def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3, deal: int = 4096) -> DataFrame:
     """key, doc_id and component of every row, over links of two kinds.
 
     key is row_key(): equal rows have one, others have their own. component is the same number
@@ -357,9 +360,9 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3, deal:
     them, and sets of five-word shingles with a Jaccard similarity of at least ``similarity``.
     First every node is held against the node that most of its prefix's groups begin with.
     Then, where a shingle's nodes are not yet one component, nodes of different components
-    are held against one another: bitmaps first, and what these leave by the texts' sets. Three
-    rounds take one pair a node, which joins most of what belongs together; the last takes all
-    pairs that are left, so no link is lost, whatever the size of a group. ``deal`` nodes of a
+    are held against one another: bitmaps first, and what these leave by the texts' sets. Two
+    rounds take one pair a node from some groups, which joins most of what belongs together; the
+    last takes all pairs of all groups that are left, so no link is lost, whatever their size. ``deal`` nodes of a
     group meet the others in one task.
 
     Null and empty texts have no shingles and the fingerprint 0, and are linked like any other;
@@ -374,7 +377,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3, deal:
     common = spark.sparkContext.broadcast((h, n))  # at most as many shingles as common_shingles() gives
     rows = cut(set_rows(docs, similarity, common), "set-rows")
     common.destroy()
-    nodes = rows.filter("n is not null").select("node", "fp", "n", "bits", "key", "head")
+    nodes = rows.filter("n is not null").select("node", "fp", "n", "bits", "narrow", "key", "head")
     head = cut(nodes.groupBy("fp").agg(F.min("node").alias("head")), "fingerprint-heads")
     same = nodes.select("node", "fp").join(head, "fp").select(F.col("node").alias("u"), F.col("head").alias("v"))
     near = links(head.select("fp"), radius)
@@ -391,11 +394,13 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, radius: int = 3, deal:
     tested = cut(plausible(star, nodes, similarity), "star-pairs")
     roots = connected(known.unionByName(confirmed(docs, nodes, tested, similarity)))
 
-    for pick in (0, 1, 2, None):
+    for pick in (0, 1, None):
         live = mixed(live, roots, deal)
         if live.isEmpty():
             break
-        fresh = across(live, nodes, similarity, pick).join(tested, ["u", "v"], "left_anti")
+        # in the rounds every eighth shingle will do: near copies share many
+        some = live if pick is None else live.filter(F.pmod(F.xxhash64("k", F.lit(pick)), F.lit(8)) == 0)
+        fresh = plausible(across(some, nodes, similarity, pick).join(tested, ["u", "v"], "left_anti"), nodes, similarity)
         fresh = cut(fresh, "cross-pairs")
         found = confirmed(docs, nodes, fresh, similarity)
         roots = cut(connected(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(found)), "roots")
