@@ -282,17 +282,20 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: f
 
 
 def mixed(live: DataFrame, roots: DataFrame, deal: int) -> DataFrame:
-    """k, node, root, main, parts of the groups that hold several components; of groups of the same nodes, one.
+    """k, node, root, family, parts of the groups that hold several components; of groups of the same nodes, one.
 
-    main says that a node belongs to the largest component of its group. A group that isn't
-    here will never be, since components only grow.
+    family is the root of a group's largest component, whose nodes are its main ones. A group
+    that isn't here will never be, since components only grow.
     """
     of = live.select("k", "node").join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("k", "node", F.coalesce("root", "node").alias("root")).distinct()
     of = cut(of, "members")
     held = of.groupBy("k", "root").agg(F.count("*").alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("i"))
     held = held.groupBy("k").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("members"), F.count("*").alias("roots"), F.sum("h").alias("h"), F.sum("i").alias("i")).filter("roots > 1")
-    once = held.groupBy("h", "i", "members").agg(F.min(F.struct("k", "main")).alias("_")).select(F.col("_.k").alias("_k"), F.col("_.main").alias("main"), F.ceil(F.col("members") / deal).cast("int").alias("parts"))
-    rows = of.join(once, F.col("k") == F.col("_k")).select("k", "node", "root", (F.col("root") == F.col("main")).alias("main"), "parts")
+    once = held.groupBy("h", "i", "members").agg(F.min(F.struct("k", "main")).alias("_")).select(F.col("_.k").alias("_k"), F.col("_.main").alias("family"), "members")
+    # as many parts for all groups of a family, so that a pair meets in the same part of each
+    most = once.groupBy("family").agg(F.ceil(F.max("members") / deal).cast("int").alias("parts")).withColumnRenamed("family", "_f")
+    once = once.join(most, F.col("family") == F.col("_f")).select("_k", "family", "parts")
+    rows = of.join(once, F.col("k") == F.col("_k")).select("k", "node", "root", "family", "parts")
     return cut(rows, "mixed")
 
 
@@ -302,11 +305,12 @@ def across(rows: DataFrame, nodes: DataFrame, similarity: float, pick: int | Non
     rows: mixed(). With ``pick``, one pair for each node that is not main: the closest by
     bitmaps for 0, else one by a hash of the pair and pick; without, all pairs. The main nodes
     meet only the others, so a linked group costs nothing. A group of several parts is dealt
-    out: in each part some nodes meet all others that are not main.
+    out: in each part some nodes meet all others that are not main. The groups of a family go to
+    one place, a part at a time, and there a pair leaves once, however many shingles it shares.
     """
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    rows = rows.withColumn("own", own).withColumn("part", F.explode(F.when(F.col("main"), F.array("own")).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))))
-    rows = rows.join(nodes.select(F.col("node").alias("_n"), "n", "narrow"), F.col("node") == F.col("_n")).select("k", "part", "node", "root", "main", (F.col("own") == F.col("part")).alias("own"), "n", "narrow")
+    rows = rows.withColumn("main", F.col("root") == F.col("family")).withColumn("own", own).withColumn("part", F.explode(F.when(F.col("main"), F.array("own")).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))))
+    rows = rows.join(nodes.select(F.col("node").alias("_n"), "n", "narrow"), F.col("node") == F.col("_n")).select("family", "part", "k", "node", "root", "main", (F.col("own") == F.col("part")).alias("own"), "n", "narrow")
 
     def meet(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         node, root, main, own, n, bits = zip(*held, strict=True)
@@ -333,20 +337,29 @@ def across(rows: DataFrame, nodes: DataFrame, similarity: float, pick: int | Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("copies", dict)
-        key, held = None, []
+        key, held, left = None, [], set()
         for b in batches:
-            k = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-            rest = zip(*(b.column(i).to_pylist() for i in range(2, 7)), (np.frombuffer(x.as_py(), np.uint64) for x in b.column(7)), strict=True)
+            k = list(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True))
+            rest = zip(*(b.column(i).to_pylist() for i in range(3, 8)), (np.frombuffer(x.as_py(), np.uint64) for x in b.column(8)), strict=True)
             for x, row in zip(k, rest, strict=True):
                 if x != key:
                     if len(held) > 1:
-                        yield from meet(held)
+                        yield from once(meet(held), left)
+                    if key is None or x[:2] != key[:2]:
+                        left = set()
                     key, held = x, []
                 held.append(row)
         if len(held) > 1:
-            yield from meet(held)
+            yield from once(meet(held), left)
 
-    dealt = rows.repartition("k", "part").sortWithinPartitions("k", "part", "node")
+    def once(found: Iterator[pa.RecordBatch], left: set) -> Iterator[pa.RecordBatch]:
+        for b in found:
+            new = list(dict.fromkeys(p for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if p not in left))
+            left.update(new)
+            if new:
+                yield _batch({"u": pa.array([u for u, _ in new], pa.int64()), "v": pa.array([v for _, v in new], pa.int64())})
+
+    dealt = rows.repartition("family", "part").sortWithinPartitions("family", "part", "k", "node")
     return dealt.mapInArrow(run, "u bigint, v bigint").distinct()
 
 
