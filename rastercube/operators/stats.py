@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 from rastercube.functions.scalar import MIN_STD, gap_fraction, guarded_std, population_std
 
+#: The largest whole number whose square has 63 bits.
+MAX_ROOT = 3_037_000_499
+
 
 class StatsError(ValueError):
     pass
@@ -18,14 +24,33 @@ def temporal_mean(cube: DataFrame, bands: list[str]) -> DataFrame:
 
 
 def pixel_sums(values: DataFrame, bands: list[str]) -> DataFrame:
-    """row, col and for each band the count, sum and sum of squares over its months."""
+    """row, col and for each band over its months the count n, sum t, and sum of squares q + r.
+
+    Whole numbers are summed as decimals, so no digit is lost and the order does not matter;
+    only of their squares those beyond 63 bits go as doubles, into r.
+    """
     parts: list[Column] = []
     for b in bands:
         x = F.col(b).cast("double")
-        parts += [F.count(b).alias(f"{b}_n"), F.sum(x).alias(f"{b}_t"), F.sum(x * x).alias(f"{b}_q")]
+        total, squares, rest = F.sum(x), F.sum(x * x), F.lit(0.0)
+        if isinstance(values.schema[b].dataType, IntegralType):
+            whole = F.col(b).cast("long")
+            small = whole.between(-MAX_ROOT, MAX_ROOT)
+            total, squares = (F.sum(v.cast("decimal(19,0)")) for v in (whole, F.when(small, whole * whole)))
+            rest = F.sum(F.when(~small, x * x))
+        parts += [F.count(b).alias(f"{b}_n"), total.alias(f"{b}_t"), squares.alias(f"{b}_q"), rest.alias(f"{b}_r")]
     return values.groupBy("row", "col").agg(*parts)
 
 
+def _as_double(sums: DataFrame, name: str) -> Column:
+    """A sum as a double; a decimal by its low 64 bits and the rest, as SQL engines cast whole numbers of 128 bits."""
+    x = F.col(name)
+    if not isinstance(sums.schema[name].dataType, DecimalType):
+        return x
+    low = x % F.lit(Decimal(2**64))
+    return low.cast("double") + (x - low).cast("double")
+
+
 def weighted_sums(weight: DataFrame, *parts: tuple[DataFrame, list[str], int]) -> DataFrame:
     """One row a band: channel, n, n_max, total, squares, each pixel counted w times.
 
@@ -36,9 +61,9 @@ def weighted_sums(weight: DataFrame, *parts: tuple[DataFrame, list[str], int]) -
     rows = weight
     for values, bands, _ in parts:
         rows = rows.join(pixel_sums(values, bands), ["row", "col"], "left")
-    sums = [F.sum(F.coalesce(f"{b}_{k}", F.lit(0)) * F.col("w")).alias(f"{b}_{k}") for _, bands, _ in parts for b in bands for k in "ntq"]
+    sums = [F.sum(F.coalesce(f"{b}_{k}", F.lit(0)) * F.col("w")).alias(f"{b}_{k}") for _, bands, _ in parts for b in bands for k in "ntqr"]
     one = rows.agg(F.sum("w").alias("_w"), *sums)
-    stack = [F.struct(F.lit(b).alias("channel"), F.coalesce(f"{b}_n", F.lit(0)).cast("long").alias("n"), (F.coalesce("_w", F.lit(0)) * months).cast("long").alias("n_max"), F.col(f"{b}_t").alias("total"), F.col(f"{b}_q").alias("squares")) for _, bands, months in parts for b in bands]
+    stack = [F.struct(F.lit(b).alias("channel"), F.coalesce(f"{b}_n", F.lit(0)).cast("long").alias("n"), (F.coalesce("_w", F.lit(0)) * months).cast("long").alias("n_max"), _as_double(one, f"{b}_t").alias("total"), (_as_double(one, f"{b}_q") + F.col(f"{b}_r")).alias("squares")) for _, bands, months in parts for b in bands]
     return one.select(F.explode(F.array(*stack)).alias("s")).select("s.*")
 
 

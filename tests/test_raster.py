@@ -128,6 +128,35 @@ def test_weighted_statistics_equal_a_loop_over_patches(spark):
     assert got["flat"]["std"] == 1.0 and got["flat"]["degenerate"] and not got["a"]["degenerate"]
 
 
+def test_large_whole_numbers_are_summed_exactly(spark):
+    v = [2**53 // 7, -(2**31) - 1, 3, 10**9 + 7, stats.MAX_ROOT, -stats.MAX_ROOT, stats.MAX_ROOT + 1, -(2**63)]
+    small = [x for x in v if abs(x) <= stats.MAX_ROOT]
+    rows = [(m, 0, j, x, x % 1000) for m, x in enumerate(v) for j in range(50)]
+    df = spark.createDataFrame(rows, "month_idx int, row int, col int, a long, b int").repartition(7)
+    weight = spark.createDataFrame([(0, j, 1 + j) for j in range(50)], "row int, col int, w long")
+    at = lambda cube: {r["channel"]: r for r in stats.weighted_sums(weight, (cube, ["a", "b"], len(v))).collect()}
+    n = sum(range(1, 51))
+    got, few = at(df)["a"], at(df.filter(F.col("a").between(-stats.MAX_ROOT, stats.MAX_ROOT)))["a"]
+    assert (got["n"], got["total"]) == (n * len(v), float(n * sum(v)))
+    assert got["squares"] == pytest.approx(n * sum(x * x for x in v), rel=1e-15)
+    assert few["squares"] == float(n * sum(x * x for x in small)) and few["total"] == float(n * sum(small))
+    assert at(df)["b"]["squares"] == n * sum((x % 1000) ** 2 for x in v)
+
+
+@pytest.mark.parametrize("name", ["q31_train_stats", "q55b_sample_planes"])
+def test_large_sums_equal_sql(spark, tmp_path, name):
+    """Squares whose sum takes more than 64 bits, as tables of 1 GB have them."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"copy (select * replace (l_extendedprice * 3000 as l_extendedprice) from '{SF}/lineitem.parquet') to '{tmp_path}/lineitem.parquet' (format parquet)")
+    con.execute(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet'")
+    r = con.execute(ORACLE[name])
+    cols = [c[0] for c in r.description]
+    want = sorted((tuple(map(norm, x)) for x in r.fetchall()), key=repr)
+    assert sorted((tuple(map(norm, x)) for x in QUERIES[name](spark, str(tmp_path)).select(*cols).collect()), key=repr) == want
+
+
 def test_statistics_without_values_are_refused(spark):
     s = spark.createDataFrame([("a", 0, 5, 0.0, 0.0), ("b", 0, 0, None, None)], "channel string, n long, n_max long, total double, squares double")
     with pytest.raises(stats.StatsError):
